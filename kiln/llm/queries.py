@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .bpe import op2_bpe_codec
 from .mixing import OP5_SQL, op5_mix_sources
 
 QUERIES = {
+    "op2_bpe_codec": op2_bpe_codec,
     "op5_mix_sources": op5_mix_sources,
 }
 
