@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .bpe import op2_bpe_codec
 from .mixing import OP5_SQL, op5_mix_sources
+from .secrets import op9_secret_scan
 from .token_files import op3_token_files
 
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_token_files": op3_token_files,
     "op5_mix_sources": op5_mix_sources,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE_SQL = {
