@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op2_bpe_codec
+from .imatch import op6_imatch
 from .mixing import OP5_SQL, op5_mix_sources
 from .secrets import op9_secret_scan
 from .token_files import op3_token_files
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_token_files": op3_token_files,
     "op5_mix_sources": op5_mix_sources,
+    "op6_imatch": op6_imatch,
     "op9_secret_scan": op9_secret_scan,
 }
 
