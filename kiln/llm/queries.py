@@ -5,10 +5,12 @@ from __future__ import annotations
 from .bpe import op2_bpe_codec
 from .imatch import op6_imatch
 from .mixing import OP5_SQL, op5_mix_sources
+from .quality import op1_quality
 from .secrets import op9_secret_scan
 from .token_files import op3_token_files
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_token_files": op3_token_files,
     "op5_mix_sources": op5_mix_sources,
