@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op2_bpe_codec
 from .imatch import op6_imatch
 from .mixing import OP5_SQL, op5_mix_sources
+from .ngram_join import op4_ngram_join
 from .quality import op1_quality
 from .secrets import op9_secret_scan
 from .token_files import op3_token_files
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_token_files": op3_token_files,
+    "op4_ngram_join": op4_ngram_join,
     "op5_mix_sources": op5_mix_sources,
     "op6_imatch": op6_imatch,
     "op9_secret_scan": op9_secret_scan,
