@@ -6,6 +6,7 @@ from .bpe import op2_bpe_codec
 from .imatch import op6_imatch
 from .mixing import OP5_SQL, op5_mix_sources
 from .ngram_join import op4_ngram_join
+from .pii import op8_pii
 from .quality import op1_quality
 from .secrets import op9_secret_scan
 from .token_files import op3_token_files
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op5_mix_sources": op5_mix_sources,
     "op6_imatch": op6_imatch,
+    "op8_pii": op8_pii,
     "op9_secret_scan": op9_secret_scan,
 }
 
