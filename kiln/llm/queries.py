@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op10_ann
 from .bpe import op2_bpe_codec
 from .imatch import op6_imatch
 from .mixing import OP5_SQL, op5_mix_sources
@@ -10,6 +11,7 @@ from .pii import op8_pii
 from .quality import op1_quality
 from .secrets import op9_secret_scan
 from .token_files import op3_token_files
+from .warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -18,10 +20,13 @@ QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op5_mix_sources": op5_mix_sources,
     "op6_imatch": op6_imatch,
+    "op7_warc": op7_warc,
     "op8_pii": op8_pii,
     "op9_secret_scan": op9_secret_scan,
+    "op10_ann": op10_ann,
 }
 
 ORACLE_SQL = {
     "op5_mix_sources": OP5_SQL,
+    "op7_warc": OP7_SQL,
 }
