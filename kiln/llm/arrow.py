@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from .common import ship
+
 #: Characters of text that a task handles at once, beyond a single word.
 SLICE = 1 << 20
 _blank = re.compile(r"[\x20\x09-\x0D]")
@@ -48,6 +50,7 @@ def add_columns(df: DataFrame, text: str, keep: list[str], added: StructType, pe
     clash = [f.name for f in added if f.name in keep]
     if clash:
         raise ValueError(f"columns {clash} exist already")
+    ship(df.sparkSession)
     carried = list(dict.fromkeys([*keep, text]))
     schema = StructType([*(df.schema[c] for c in keep), *added.fields])
 

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,22 @@ NON_WORD = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _own_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once an application, so they need no installed copy."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="kiln-code-")  # Spark's file server hands it on to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{top.name}.zip", "w") as z:
+        for path in sorted(top.rglob("*.py")):
+            z.write(path, path.relative_to(top.parent))
+    spark.sparkContext.addPyFile(f"{folder}/{top.name}.zip")
+    _shipped.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,6 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without that setting: it gets a folder of its own, removed at exit.
     """
+    ship(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.sparkContext.master
@@ -45,6 +64,7 @@ def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
