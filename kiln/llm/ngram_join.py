@@ -41,6 +41,8 @@ LIST_COST = 16
 SKETCH_BITS = (14, 22)
 #: So many document ids are broadcast, at most (8 MB); more are joined by a shuffle.
 MAX_BROADCAST_IDS = 1_000_000
+#: The same for shingles that several sets begin with (16 MB).
+MAX_BROADCAST_TOKENS = 2_000_000
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -157,10 +159,10 @@ def _measure(docs: DataFrame, k: int, num: int, den: int, bound: int, bits: int)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("node2", pa.int64()), ("light", pa.list_(pa.struct([("c", pa.int32()), ("key", pa.binary())]))), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << bits, np.int64)
+        counters = np.zeros(1 << bits, np.uint32)
         for batch, texts in slices(batches, "text"):
             sets = shingle_sets(texts, k)
-            counters += np.bincount(np.concatenate(sets).view(np.uint64) >> np.uint64(64 - bits), minlength=1 << bits)
+            np.add.at(counters, (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
             keys = [_digest(s) for s in sets]
             light = [[{"c": c, "key": x} for c, x in light_keys(s, num, den, bound)] if 0 < len(s) <= largest else [] for s in sets]
             none = pa.nulls(len(texts), pa.int32())
@@ -260,19 +262,22 @@ def ngram_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
 
     prefixes = stored(_prefixes(docs, k, num, den, bound, bits, _rarity(facts, bits)), "prefixes", folder)
     entries = prefixes.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
-    several = entries.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
-    lists = stored(entries.join(several, "token"), "lists", folder)
+    several = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1").select("token"), "several", folder)
+    few = F.broadcast(several) if several.count() <= MAX_BROADCAST_TOKENS else several
+    lists = stored(entries.join(few, "token"), "lists", folder)
     hub = lists.groupBy("token").agg(F.min(F.struct("pos", "n", "node")).alias("r"))
     first = stored(_pairs(lists.alias("l").join(hub, "token").where(_can_link("l", "r", num, den))), "first", folder)
 
-    members = lists.select("node").distinct()
-    ids = rows.groupBy("node", "node2").agg(F.min("doc_id").alias("doc_id")).join(members, "node", "left_semi").select("doc_id").distinct()
-    ids = stored(ids, "ids", folder)
-    few = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    asked = docs.join(few.withColumnRenamed("doc_id", "asked"), F.col("doc_id").eqNullSafe(F.col("asked")), "left_semi")
-    sets = stored(_sets(asked, k), "sets", folder)
+    owners = rows.groupBy("node", "node2").agg(F.min("doc_id").alias("doc_id"))
 
-    linked = stored(_checked(first, sets, num, den).union(light), "linked", folder)
+    def sets_of(pairs: DataFrame, name: str) -> DataFrame:
+        """Whole sets of the nodes in ``pairs``, made again from one document of each."""
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ids = stored(owners.join(asked, "node", "left_semi").select(F.col("doc_id").alias("asked")).distinct(), f"{name}-ids", folder)
+        few = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+        return stored(_sets(docs.join(few, F.col("doc_id").eqNullSafe(F.col("asked")), "left_semi"), k), f"{name}-sets", folder)
+
+    linked = stored(_checked(first, sets_of(first, "first"), num, den).union(light), "linked", folder)
     roots = components(linked, folder, "roots")
     placed = lists.join(roots, "node", "left").select("token", "pos", "n", "node", F.coalesce("root", "node").alias("root"))
     placed = stored(placed, "placed", folder)
@@ -281,7 +286,7 @@ def ngram_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     mixed = stored(placed.join(mixed, "token"), "mixed", folder)
     rest = mixed.where("root <> main").alias("l").join(mixed.alias("r"), (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & _can_link("l", "r", num, den))
     second = stored(_pairs(rest).join(first, ["a", "b"], "left_anti"), "second", folder)
-    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_checked(second, sets, num, den))
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_checked(second, sets_of(second, "second"), num, den))
     roots = components(links, folder, "all")
 
     # Per node first, so copies meet only in sums that combine before the shuffle.
