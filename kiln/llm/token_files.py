@@ -17,6 +17,7 @@ their ids, every document ends with the end id, an empty table writes nothing an
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
@@ -33,49 +34,67 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import add_columns, segments
-from .bpe import default_path
+from .bpe import Splitter, byte_chars, default_path
 from .common import shared_dir, stored, table
 
 MAGIC = b"KILNHUF1"
 BLOCK = 256
 FILE_TOKENS = 2_000_000
 MAX_LEN = 18
-CACHED_WORDS = 400_000
+#: Words, and pieces of words, that a task remembers.
+CACHED_WORDS = 250_000
 
 
-class LibraryEncoder:
-    """The tokenizers library, asked once for every blank-free word that a task meets.
+class LibraryIds(dict):
+    """Ids of blank-free words as bytes, by the tokenizers library's model; a word that isn't known yet is looked up by its pieces.
 
-    Its ids for a text are those of the text's words in turn: its splitter never joins across a blank.
+    The library's ids for a text are those of the text's words in turn; the tests hold this against its encoding of whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.word_ids: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        words = [[part.encode().split() for _, part in segments(t)] for t in texts]
-        new = list({w for doc in words for part in doc for w in part}.difference(self.word_ids))
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            flat = np.array([i for e in found for i in e.ids], "<u4").tobytes()
-            at = 0
-            for w, e in zip(some, found, strict=True):
-                self.word_ids[w] = flat[at : (at := at + 4 * len(e))]
-        lookup = self.word_ids.__getitem__
-        out = [b"".join([b"".join(map(lookup, part)) for part in doc]) + end for doc in words]
-        if len(self.word_ids) > CACHED_WORDS:  # frequent words come early
-            for w in list(self.word_ids)[CACHED_WORDS // 2 :]:
-                del self.word_ids[w]
+        with open(path, encoding="utf-8") as f:
+            self.splitter = Splitter(json.load(f), path)
+        self.model = Tokenizer.from_file(path).model
+        self.chars = {b: ord(c) for b, c in enumerate(byte_chars())}
+        self.special = {t: np.uint32(i).tobytes() for t, i in self.splitter.special.items()}
+        self.pieces: dict[str, bytes] = {}
+
+    def piece(self, p: str) -> bytes:
+        ids = self.pieces.get(p) or self.special.get(p)
+        if ids is None:
+            tokens = self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.chars))
+            ids = self.pieces[p] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if text.isascii():
+            low = text.lower()
+            if low.isalpha():
+                ids = self.piece(low)
+            elif low[-1] in ",.:;!?" and low[:-1].isalpha():
+                ids = self.piece(low[:-1]) + self.piece(low[-1])
+            else:
+                ids = b"".join(map(self.piece, self.splitter.pieces(text)))
+        else:
+            ids = b"".join(map(self.piece, self.splitter.pieces(text)))
+        self[word] = ids
+        return ids
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = [b"".join([b"".join(map(self.__getitem__, part.encode().split())) for _, part in segments(t)]) for t in texts]
+        for known in (self, self.pieces):
+            if len(known) > CACHED_WORDS:  # frequent words come early
+                for w in list(known)[CACHED_WORDS // 2 :]:
+                    del known[w]
         return out
 
 
 @lru_cache(maxsize=2)
-def library(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def library(path: str) -> LibraryIds:
+    return LibraryIds(path)
 
 
 def narrow(ids: bytes) -> bytes:
@@ -89,7 +108,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, vocab_size: int) -> DataFra
 
     def work():
         lib = library(path)
-        return lambda texts: [pa.array([narrow(x) if small else x for x in lib.encode(texts, end)], pa.binary())]
+        return lambda texts: [pa.array([narrow(x + end) if small else x + end for x in lib.encode(texts)], pa.binary())]
 
     return add_columns(docs, "text", ["doc_id"], T.StructType([T.StructField("ids", T.BinaryType())]), work)
 
@@ -98,6 +117,7 @@ def id_counts(ids: DataFrame, kind: str, vocab_size: int) -> np.ndarray:
     """How often each id occurs; as many rows come to the driver as the vocabulary has ids."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library.cache_clear()  # Python workers outlive the stage that encodes; its memory goes before the next ones begin
         total = np.zeros(vocab_size, np.int64)
         for batch in batches:
             for x in batch.column("ids").to_pylist():
@@ -231,6 +251,7 @@ def write_files(ids: DataFrame, lengths: np.ndarray, kind: str, folder: str) ->
     packed = lengths.tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library.cache_clear()
         code = Code(np.frombuffer(packed, np.uint8))
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
@@ -265,6 +286,7 @@ def read_files(manifest: DataFrame) -> DataFrame:
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library.cache_clear()
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 store, at = fs.FileSystem.from_uri(path)
