@@ -54,10 +54,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
     total = F.sum("source_size").over(everything).cast("double")
     capped, freed = F.coalesce(F.sum("cap").over(before), F.lit(0.0)), F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     level = (total - capped) / (F.sum("weight").over(everything) - freed)
-    # The first source whose cap is at or above the level of the rest fixes the level for all after it.
-    staged = weighed.withColumn("level", level).withColumn("open", F.col("cap") >= F.col("level") * F.col("weight"))
-    levelled = staged.withColumn("water", F.min(F.when(F.col("open"), F.col("level"))).over(everything))
-    target = F.least(F.col("cap"), F.coalesce(F.col("water") * F.col("weight"), F.col("cap")))
+    # While sources fall short of the level it rises from one to the next; from the first that doesn't on, it would only fall.
+    levelled = weighed.withColumn("level", level).withColumn("water", F.max("level").over(everything))
+    target = F.least(F.col("cap"), F.col("water") * F.col("weight"))
     return levelled.select("src", "source_size", "n_rows", target.alias("target"))
 
 
@@ -140,8 +139,8 @@ weighed AS (
 lv AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
   FROM weighed WINDOW b AS (ORDER BY cap / weight, src NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-water AS (SELECT *, min(CASE WHEN cap >= level * weight THEN level END) OVER () AS water FROM lv),
-targets AS (SELECT src, source_size, least(cap, coalesce(water * weight, cap)) AS target FROM water),
+water AS (SELECT *, max(level) OVER () AS water FROM lv),
+targets AS (SELECT src, source_size, least(cap, water * weight) AS target FROM water),
 plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,
          target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END * source_size AS budget FROM targets),
