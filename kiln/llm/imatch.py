@@ -1,7 +1,7 @@
 """I-Match document fingerprints, in DataFrame operations only.
 
 A term's document frequency is counted over the whole corpus. The lexicon keeps the terms whose inverse document
-frequency lies in a band. ``SUBSETS`` randomised lexicons keep a term with a fixed chance, from one in 4 to
+frequency lies in a band. 16 randomised lexicons keep a term with a fixed chance, from one in 4 to
 one in 256, by a hash of term and subset. Per document and subset, the distinct kept terms are sorted and hashed; the
 fingerprint is these hashes, 16 hex digits each (or dashes where no term is kept), joined by points. Sparse subsets serve
 long texts and dense ones short texts. The likeness of two fingerprints is the share of equal hashes among the
@@ -26,25 +26,26 @@ from .common import stored, table
 
 MIN_SHARE = 0.002
 MAX_SHARE = 0.10
-#: One in so many terms is in a subset; each rate has four subsets.
-RATES = (4, 16, 64, 256)
-EACH = 4
-SUBSETS = len(RATES) * EACH
+#: One in so many terms is in a subset: a rate for each of the subsets, 16 at most.
+RATES = (4, 4, 16, 16, 16, 16, 64, 64, 64, 64, 64, 64, 256, 256, 256, 256)
 MAX_BROADCAST_TERMS = 2_000_000
 NO_TERM = "-" * 16
 #: Rows that an order range holds on average.
 ROWS_A_RANGE = 2000
+#: Beyond so many ranges they get longer; a range is sorted with spilling and then streams.
+MAX_RANGES = 4096
 
 
-def terms(text: Column) -> Column:
-    """Distinct lower-case words, without what is neither letter nor digit at their ends."""
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda w: F.length(w) > 1))
+def exploded_terms(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` without ``text``, a row per distinct lower-case word of it (letters and digits, two at least) with its hash ``t``; a row with null ``t`` for texts without words."""
+    words = F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))
+    each = df.withColumn("term", F.explode_outer(words)).drop(text)
+    return each.withColumn("t", F.when(F.length("term") > 1, F.xxhash64("term"))).drop("term")
 
 
 def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE, text: str = "text") -> DataFrame:
     """term hashes (``t``) whose document frequency is in the band; ``docs`` counts as all documents."""
-    counted = docs.select(F.explode(terms(F.col(text))).alias("term")).groupBy(F.xxhash64("term").alias("t")).agg(F.count(F.lit(1)).alias("df"))
+    counted = exploded_terms(docs.select(F.col(text).alias("text"))).where(F.col("t").isNotNull()).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("n"))
     # The one-row table of the count is the small side of this join.
     return counted.join(F.broadcast(n)).where((F.col("df") >= F.greatest(F.lit(2.0), F.col("n") * min_share)) & (F.col("df") <= F.greatest(F.lit(2.0), F.col("n") * max_share))).select("t")
@@ -54,65 +55,82 @@ def bounded(small: DataFrame, limit: int = MAX_BROADCAST_TERMS) -> DataFrame:
     return F.broadcast(small) if small.count() <= limit else small
 
 
-def in_subset(t: Column, k: int) -> Column:
-    return F.pmod(F.xxhash64(t, F.lit(k)), F.lit(RATES[k // EACH])) == 0
+def subset_mask() -> Column:
+    """Bit k tells whether term ``t`` is in subset k."""
+    bit = lambda k: F.when(F.pmod(F.xxhash64("t", F.lit(k)), F.lit(RATES[k])) == 0, F.lit(1 << k)).otherwise(F.lit(0))
+    mask = bit(0)
+    for k in range(1, len(RATES)):
+        mask = mask.bitwiseOR(bit(k))
+    return mask.cast("long")
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def fingerprint(kept: Column, text_hash: Column) -> Column:
-    """Of an array of the document's lexicon terms, or of the text's hash where there is none."""
-    kept = F.array_sort(kept)
+    """Of the sorted marks of the document's lexicon terms (48 bits of hash, 16 of subsets), or of the text's hash where there is none."""
+    subsets = F.array(*(F.lit(k) for k in range(len(RATES))))
 
-    def one(k: int) -> Column:
-        own = F.filter(kept, lambda t: in_subset(t, k))
-        return F.when(F.size(own) > 0, F.lpad(F.lower(F.hex(F.xxhash64(own, F.lit(k)))), 16, "0")).otherwise(F.lit(NO_TERM))
+    def one(k: Column) -> Column:
+        own = F.filter(kept, lambda m: F.getbit(m, k) == 1)
+        return once(own, lambda o: F.when(F.size(o) > 0, F.lpad(F.lower(F.hex(F.xxhash64(o, k))), 16, "0")).otherwise(F.lit(NO_TERM)))
 
-    hashes = F.concat_ws(".", *(one(k) for k in range(SUBSETS)))
-    alone = F.concat_ws(".", *(F.substring(F.sha2(F.concat(text_hash, F.lit(str(k))), 256), 1, 16) for k in range(SUBSETS)))
-    return F.when(F.replace(F.replace(hashes, F.lit("-"), F.lit("")), F.lit("."), F.lit("")) == "", alone).otherwise(hashes)
+    alone = F.transform(subsets, lambda k: F.substring(F.sha2(F.concat_ws(":", text_hash.cast("string"), k.cast("string")), 256), 1, 16))
+    return once(F.transform(subsets, one), lambda h: F.array_join(F.when(F.forall(h, lambda x: x == NO_TERM), alone).otherwise(h), "."))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    pairs = F.arrays_zip(F.split(a, r"\.").alias("x"), F.split(b, r"\.").alias("y"))
-    some = F.size(F.filter(pairs, lambda p: (p["x"] != NO_TERM) | (p["y"] != NO_TERM)))
-    same = F.size(F.filter(pairs, lambda p: (p["x"] == p["y"]) & (p["x"] != NO_TERM)))
-    return F.when(some > 0, same / some).otherwise(F.when(a == b, 1.0).otherwise(0.0))
+    pairs = F.zip_with(F.split(a, r"\."), F.split(b, r"\."), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    seen = F.filter(pairs, lambda p: (p["x"] != NO_TERM) | (p["y"] != NO_TERM))
+    share = once(seen, lambda s: F.when(F.size(s) > 0, F.size(F.filter(s, lambda p: p["x"] == p["y"])) / F.size(s)))
+    return F.coalesce(share, F.when(a == b, 1.0).otherwise(0.0))
 
 
 def fingerprints(texts: DataFrame, lex: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``keys`` (which must tell rows apart) and ``fingerprint`` of each row of ``texts``."""
-    hashed = texts.select(*keys, F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("text_hash"), terms(F.coalesce(F.col(text), F.lit(""))).alias("terms"))
-    # Zero stands in both lists, so texts without a term of the lexicon stay too. All else is dropped in the join, before rows are gathered.
-    each = hashed.select(*keys, "text_hash", F.explode(F.array_append(F.transform("terms", lambda t: F.xxhash64(t)), F.lit(0))).alias("t"))
-    kept = each.join(bounded(lex.union(lex.sparkSession.range(1)).distinct()), "t")
-    gathered = kept.groupBy(*keys, "text_hash").agg(F.filter(F.collect_list("t"), lambda t: t != 0).alias("kept"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    each = exploded_terms(texts.select(*keys, F.xxhash64(body).alias("text_hash"), body.alias("text")).withColumn("text", F.concat("text", F.lit(" ."))))
+    marks = lex.withColumn("mask", subset_mask()).where("mask > 0").select("t", F.col("t").bitwiseAND(F.lit(-65536)).bitwiseOR(F.col("mask")).alias("mark"))
+    # Every text ends in an empty word, whose null term the zero stands for: it finds a mark of no subset, so texts without lexicon terms stay.
+    marks = marks.union(lex.sparkSession.range(1).select("id", "id"))
+    kept = each.withColumn("t", F.coalesce("t", F.lit(0))).join(bounded(marks), "t")
+    gathered = kept.groupBy(*keys, "text_hash").agg(F.sort_array(F.filter(F.collect_list("mark"), lambda m: m != 0)).alias("kept"))
     return gathered.select(*keys, fingerprint(F.col("kept"), F.col("text_hash")).alias("fingerprint"))
 
 
+def cuts_upto(value: Column, cuts: list[int], block: int = 64) -> Column:
+    """How many of the sorted ``cuts`` are at most ``value``: whole blocks of them first, then those of one block."""
+    blocks = [cuts[i : i + block] for i in range(0, len(cuts), block)]
+    passed = F.size(F.filter(F.array(*(F.lit(b[-1]) for b in blocks)), lambda c: c <= value))
+    inner = F.try_element_at(F.array(*(F.array(*map(F.lit, b)) for b in blocks)), passed + 1)
+    return passed * block + F.coalesce(F.when(passed < len(blocks), F.size(F.filter(inner, lambda c: c <= value))), F.lit(len(cuts) - len(blocks) * block))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, pos and the text and pos of the next document in descending doc_id (after the last: the first).
 
     Ranges of doc_id from its quantiles are ordered apart; the first row of each range, one row a range, serves the last row of the range before.
     """
     n = docs.count()
-    ranges = max(1, n // ROWS_A_RANGE)
+    ranges = max(1, min(MAX_RANGES, n // ROWS_A_RANGE))
     cuts = docs.agg(F.expr(f"percentile_approx(doc_id, array({','.join(str(k / ranges) for k in range(1, ranges))}), 10000)").alias("q")).first().q if ranges > 1 else []
     cuts = sorted(set(cuts or []))
-    above = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c > F.col("doc_id"))) if cuts else F.lit(0)
-    ranged = docs.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above).cast("long"))
-    order = W.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text"))
-    rows = ranged.select(
-        "doc_id", "text", "range", ((F.col("range") * (1 << 40)) + F.row_number().over(order)).alias("pos"),
-        F.lead(F.struct("text")).over(order).alias("follower"),
-    )
-    rows = stored(rows.select("*", F.coalesce("text", F.lit("")).alias("body")).select("doc_id", F.col("body").alias("text"), "range", "pos", "follower"), "ordered")
-    heads = rows.where(F.col("pos") % (1 << 40) == 1).select("range", F.col("text").alias("head_text"), F.col("pos").alias("head_pos"))
-    # One row a range: the range after each, and the first range after the last.
+    above = F.lit(len(cuts)) - cuts_upto(F.col("doc_id"), cuts) if cuts else F.lit(0)
+    ranged = docs.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above).cast("long").alias("range"))
+    # The first row of each range: its largest id, then the least text of that id.
+    tops = ranged.groupBy("range").agg(F.max("doc_id").alias("top")).withColumnRenamed("range", "t_range")
+    heads = ranged.join(tops, (F.col("range") == F.col("t_range")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("range").agg(F.min(F.coalesce("text", F.lit(""))).alias("head"))
     chain = W.orderBy("range")
-    heads = heads.select(F.col("range").alias("h_range"), F.coalesce(F.lead("head_text").over(chain), F.first("head_text").over(chain)).alias("head_text"), F.coalesce(F.lead("head_pos").over(chain), F.first("head_pos").over(chain)).alias("head_pos"))
+    follow = lambda c: F.coalesce(F.lead(c).over(chain), F.first(c).over(W.orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    heads = stored(heads, "heads").select(F.col("range").alias("h_range"), follow("head").alias("head_text"), (follow("range") * (1 << 40) + 1).alias("head_pos"))
+    order = W.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.coalesce("text", F.lit("")))
+    rows = ranged.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "range", (F.col("range") * (1 << 40) + F.row_number().over(order)).alias("pos"), F.lead(F.coalesce("text", F.lit(""))).over(order).alias("follower"))
+    joined = rows.join(heads, F.col("range") == F.col("h_range"))
     last = F.col("follower").isNull()
-    joined = rows.join(heads, last & (F.col("range") == F.col("h_range")), "left")
     return joined.select(
-        "doc_id", "text", "pos", F.when(last, F.col("head_text")).otherwise(F.coalesce(F.col("follower.text"), F.lit(""))).alias("next_text"),
+        "doc_id", "text", "pos", F.coalesce("follower", "head_text").alias("next_text"),
         F.when(last, F.col("head_pos")).otherwise(F.col("pos") + 1).alias("next_pos"),
     )
 
@@ -123,7 +141,7 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))"), F.expr("substring(next_text, 1, cast(floor(length(text) / 3) as int))"))
     both = with_next(docs).withColumn("edited", edited)
-    facts = F.struct("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "next_pos")
+    facts = F.struct("doc_id", F.length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.encode("edited", "UTF-8"), 256)).alias("edited_sha256"), "next_pos")
     each = both.select("pos", facts.alias("facts"), F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
     prints = fingerprints(each.select("pos", "facts", "v.which", "v.text"), lex, ["pos", "facts", "which"])
     paired = prints.groupBy("pos", "facts").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
@@ -131,7 +149,7 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     following = paired.select(F.col("pos").alias("f_pos"), F.col("fingerprint").alias("next_fingerprint"))
     done = paired.join(following, F.col("facts.next_pos") == F.col("f_pos"))
     return done.select(
-        "facts.doc_id", "facts.n_chars", "facts.edited_sha256", "fingerprint", "edited_fingerprint",
+        "facts.doc_id", "facts.n_chars", F.lower(F.hex("facts.edited_sha256")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
