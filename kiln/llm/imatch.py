@@ -121,7 +121,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     ranged = docs.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above).cast("long").alias("range"))
     # The first row of each range: its largest id, then the least text of that id.
     tops = ranged.groupBy("range").agg(F.max("doc_id").alias("top")).withColumnRenamed("range", "t_range")
-    heads = ranged.join(tops, (F.col("range") == F.col("t_range")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("range").agg(F.min(F.coalesce("text", F.lit(""))).alias("head"))
+    # At most MAX_RANGES + 1 rows of two numbers, so texts stay where they are.
+    heads = ranged.join(F.broadcast(tops), (F.col("range") == F.col("t_range")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("range").agg(F.min(F.coalesce("text", F.lit(""))).alias("head"))
     chain = W.orderBy("range")
     follow = lambda c: F.coalesce(F.lead(c).over(chain), F.first(c).over(W.orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)))
     heads = stored(heads, "heads").select(F.col("range").alias("h_range"), follow("head").alias("head_text"), (follow("range") * (1 << 40) + 1).alias("head_pos"))
