@@ -42,30 +42,31 @@ BLOCK = 256
 FILE_TOKENS = 2_000_000
 MAX_LEN = 18
 #: Words, and pieces of words, that a task remembers.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 350_000
 
 
 class LibraryIds(dict):
-    """Ids of blank-free words as bytes, by the tokenizers library's model; a word that isn't known yet is looked up by its pieces.
+    """Ids of blank-free words as bytes (two an id where ``small``), by the tokenizers library's model; a word that isn't known yet is looked up by its pieces.
 
     The library's ids for a text are those of the text's words in turn; the tests hold this against its encoding of whole texts.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, small: bool):
         from tokenizers import Tokenizer
 
+        self.letter = "H" if small else "I"
         with open(path, encoding="utf-8") as f:
             self.splitter = Splitter(json.load(f), path)
         self.model = Tokenizer.from_file(path).model
         self.chars = {b: ord(c) for b, c in enumerate(byte_chars())}
-        self.special = {t: np.uint32(i).tobytes() for t, i in self.splitter.special.items()}
+        self.special = {t: struct.pack(f"<{self.letter}", i) for t, i in self.splitter.special.items()}
         self.pieces: dict[str, bytes] = {}
 
     def piece(self, p: str) -> bytes:
         ids = self.pieces.get(p) or self.special.get(p)
         if ids is None:
             tokens = self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.chars))
-            ids = self.pieces[p] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            ids = self.pieces[p] = struct.pack(f"<{len(tokens)}{self.letter}", *[t.id for t in tokens])
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
@@ -93,22 +94,18 @@ class LibraryIds(dict):
 
 
 @lru_cache(maxsize=2)
-def library(path: str) -> LibraryIds:
-    return LibraryIds(path)
-
-
-def narrow(ids: bytes) -> bytes:
-    return np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+def library(path: str, small: bool) -> LibraryIds:
+    return LibraryIds(path, small)
 
 
 def encoded(docs: DataFrame, path: str, end_id: int, vocab_size: int) -> DataFrame:
     """doc_id and ids, two bytes each where the vocabulary allows it."""
-    end = np.uint32(end_id).tobytes()
     small = vocab_size <= 1 << 16
+    end = struct.pack("<H" if small else "<I", end_id)
 
     def work():
-        lib = library(path)
-        return lambda texts: [pa.array([narrow(x + end) if small else x + end for x in lib.encode(texts)], pa.binary())]
+        lib = library(path, small)
+        return lambda texts: [pa.array([x + end for x in lib.encode(texts)], pa.binary())]
 
     return add_columns(docs, "text", ["doc_id"], T.StructType([T.StructField("ids", T.BinaryType())]), work)
 
@@ -187,11 +184,12 @@ class Code:
         ends = np.cumsum(lengths)
         offsets = (ends - lengths)[::BLOCK]
         parts, carry = [], np.zeros(0, np.uint8)
-        for k in range(0, len(ids), 1 << 16):
-            n = lengths[k : k + (1 << 16)]
-            last = np.cumsum(n)
-            shift = np.repeat(last, n) - 1 - np.arange(last[-1])
-            bits = np.concatenate([carry, (np.repeat(self.codes[ids[k : k + (1 << 16)]], n) >> shift & 1).astype(np.uint8)])
+        codes = self.codes.astype(np.int32)
+        for k in range(0, len(ids), 1 << 15):
+            n = lengths[k : k + (1 << 15)]
+            last = np.cumsum(n, dtype=np.int32)
+            shift = np.repeat(last - 1, n) - np.arange(last[-1], dtype=np.int32)
+            bits = np.concatenate([carry, (np.repeat(codes[ids[k : k + (1 << 15)]], n) >> shift & 1).astype(np.uint8)])
             whole = len(bits) // 8 * 8
             parts.append(np.packbits(bits[:whole]).tobytes())
             carry = bits[whole:]
