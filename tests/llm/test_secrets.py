@@ -38,3 +38,26 @@ def test_query_hash(spark, tmp_path):
     df.write.parquet(str(tmp_path / "documents.parquet"))
     for r in secrets.op9_secret_scan(spark, str(tmp_path)).collect():
         assert r.base_sha256 == hashlib.sha256(base(TEXTS[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_copies_are_one_holder(spark):
+    prose = " ".join(f"word{i} of line{i * 7 % 31}" for i in range(120))
+    copied, near, example, moved = "Ak3Jh8sQ0pLmN5vB7xC2wE9r", "Bk3Jh8sQ0pLmN5vB7xC2wE9r", "Ck3Jh8sQ0pLmN5vB7xC2wE9r", "Dk3Jh8sQ0pLmN5vB7xC2wE9r"
+    rows = [(f"{copied} {prose}", "a"), (f"{copied} {prose}", "b"), (f"{near} {prose} x", "a"), (f"{near} {prose} y z", "b")]
+    rows += [(f"text{i} number{i} shows {example} for case{i}", "hot") for i in range(40)]
+    rows += [(f"{moved} {prose} q", "b"), (f"{moved} {prose} q", "a"), (f"other {moved}", "b")]  # b holds both texts
+    df = spark.createDataFrame([(i, t, o) for i, (t, o) in enumerate(rows)], "doc_id long, text string, source string")
+    spans = {r.doc_id: r.secret_spans for r in secrets.scan(df).collect()}
+    facts = lambda i: [(s.kind, s.live, s.owners, s.repos, s.texts) for s in spans[i]]
+    for i in (0, 1, 2, 3):
+        assert facts(i) == [("opaque", True, 1, 1, 1)], i
+    assert all(not spans[i] for i in range(4, 44))  # one owner, but 40 unlike texts
+    for i in (44, 45, 46):
+        assert facts(i) == [("opaque", True, 1, 1, 2)], i
+
+
+def test_repositories_decide(spark):
+    value = "Ek3Jh8sQ0pLmN5vB7xC2wE9r"
+    df = spark.createDataFrame([(i, f"case{i} {value}", "a", f"r{i}") for i in range(secrets.LIVE_REPOS + 1)], "doc_id long, text string, source string, repo string")
+    assert all(r.n_example == 1 and not r.secret_spans for r in secrets.scan(df, repository="repo").collect())
+    assert all(r.n_live == 1 for r in secrets.scan(df.limit(secrets.LIVE_REPOS), repository="repo").collect())
