@@ -59,10 +59,10 @@ def apart(span: Column, others: Column) -> Column:
 def sketch(text: Column) -> Column:
     """The least hash of the text's shingles for each of ``SKETCH`` seeds; a text shorter than a shingle is one shingle."""
     words = F.filter(F.split(text, f"{NON_WORD}+"), lambda w: w != "")
-    shingles = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - SHINGLE + 1)), lambda i: F.xxhash64(F.slice(words, i, SHINGLE))))
-    # One array of shingles for all seeds: a value bound by a lambda is made once.
+    cut = lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - SHINGLE + 1)), lambda i: F.xxhash64(F.slice(w, i, SHINGLE))))
+    # One array for all elements and seeds: a value bound by a lambda is made once, an expression within one each time.
     least = lambda h: F.transform(F.sequence(F.lit(1), F.lit(SKETCH)), lambda j: F.array_min(F.transform(h, lambda x: F.xxhash64(x, j))))
-    return F.transform(F.array(shingles), least)[0]
+    return F.transform(F.transform(F.array(words), cut), least)[0]
 
 
 def copies(texts: DataFrame) -> DataFrame | None:
