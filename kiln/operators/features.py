@@ -23,14 +23,20 @@ class FeatureSpec:
 
 
 def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = ()) -> list[FeatureSpec]:
-    """The aggregate family for a history table: count, and by type sums, means, spread, ends, distinct values."""
+    """The aggregate family for a history table: count, and by type sums, means, spread, ends, distinct values; days since 1970 for dates, shares for booleans."""
     out = [FeatureSpec(f"{name}_count", "agg", name, key, "count(1)")]
     for c, kind in df.dtypes:
         if c == key or c in skip:
             continue
         if kind in ("double", "float") or kind.startswith("decimal"):
             out += [FeatureSpec(f"{name}_{f}_{c}", "agg", name, key, f"{f}(`{c}`)") for f in ("sum", "avg", "min", "max", "stddev_pop")]
-        elif kind in ("string", "int", "bigint"):
+        elif kind == "boolean":
+            out += [FeatureSpec(f"{name}_{f}_{c}", "agg", name, key, f"{f}(cast(`{c}` as int))") for f in ("sum", "avg")]
+        elif kind == "date" or kind.startswith("timestamp"):
+            out += [FeatureSpec(f"{name}_{f}_{c}", "agg", name, key, f"{f}(unix_date(cast(`{c}` as date)))") for f in ("min", "max", "stddev_pop")]
+        elif kind in ("int", "bigint"):
+            out += [FeatureSpec(f"{name}_{f}_{c}", "agg", name, key, f"{f}(cast(`{c}` as double))") for f in ("sum", "avg", "min", "max", "stddev_pop")]
+        if kind in ("string", "int", "bigint", "date"):
             out.append(FeatureSpec(f"{name}_distinct_{c}", "agg", name, key, f"count(distinct `{c}`)"))
     return out
 

@@ -12,7 +12,7 @@ from ..functions.columns import noise
 from ..operators.contract import violations
 from ..operators.features import FeatureSpec, compile_features, grammar
 from ..operators.joins import lookup_left
-from ..operators.profile import key_check
+from ..operators.profile import join_graph, key_check
 from ..operators.select import choose
 from ..sources.catalog import TableCatalog
 from ..sources.csv import write_csv
@@ -28,16 +28,44 @@ class TaskSpec:
 
 
 def history_tables(catalog: TableCatalog, id_col: str) -> dict[str, DataFrame]:
-    """Side tables that carry the id: lookups where it identifies rows, histories otherwise."""
-    return {n: catalog[n] for n in catalog if n not in ("train", "test", "readme") and id_col in catalog[n].columns}
+    """Side tables with the id: those that carry it, then those that joins lead to, over any number of hops, each by its shortest way.
+
+    A child of the ids takes them under its own key's place; a child of a table takes the ids of its parent row; a parent takes those of its child rows.
+    """
+    sides = {n: catalog[n] for n in catalog if n not in ("train", "test", "readme")}
+    found = {n: df for n, df in sides.items() if id_col in df.columns}
+    if len(found) == len(sides):
+        return found
+    ids = catalog["train"].select(id_col).union(catalog["test"].select(id_col)).distinct()
+    # Ends like "id" say nothing of what is meant, so such columns must have equal names.
+    links = [x for x in join_graph({**sides, "__ids": ids}) if x[1] == x[3] or x[1].partition("_")[2].lower() not in ("id", "key", "no", "code")]
+    near = {"__ids": ids, **found}
+    while near:
+        new: dict[str, DataFrame] = {}
+        for child, c, parent, k in links:
+            if parent in near and child in sides and child not in found and child not in new:
+                df = sides[child]
+                new[child] = df.withColumnRenamed(c, id_col) if k == id_col else df.join(near[parent].select(F.col(f"`{k}`").alias(c), id_col).distinct(), c)
+            elif child in near and child != "__ids" and parent in sides and parent not in found and parent not in new:
+                new[parent] = sides[parent].join(near[child].select(F.col(f"`{c}`").alias(k), id_col).distinct(), k)
+        found.update(new)
+        near = new
+    return found
 
 
 def candidate_specs(tables: dict[str, DataFrame], id_col: str, target: str) -> list[FeatureSpec]:
     specs: list[FeatureSpec] = []
     for name, df in tables.items():
         if key_check(df, [id_col]).first().is_key:
-            numbers = [c for c, k in df.dtypes if c not in (id_col, target) and k in ("int", "bigint", "double", "float")]
-            specs += [FeatureSpec(f"{name}_{c}", "lookup", name, id_col, f"`{c}`") for c in numbers]
+            for c, kind in df.dtypes:
+                if c in (id_col, target):
+                    continue
+                if kind in ("int", "bigint", "double", "float") or kind.startswith("decimal"):
+                    specs.append(FeatureSpec(f"{name}_{c}", "lookup", name, id_col, f"`{c}`"))
+                elif kind == "boolean":
+                    specs.append(FeatureSpec(f"{name}_{c}", "lookup", name, id_col, f"cast(`{c}` as int)"))
+                elif kind == "date" or kind.startswith("timestamp"):
+                    specs.append(FeatureSpec(f"{name}_{c}", "lookup", name, id_col, f"unix_date(cast(`{c}` as date))"))
         else:
             specs += grammar(name, df, id_col, (target,))
     return specs
@@ -65,16 +93,17 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, spec: TaskSpec) -> lis
         raise ValueError("the target needs exactly two values")
     tables = history_tables(catalog, spec.id_col)
     specs = candidate_specs(tables, spec.id_col, spec.target_col)
+    if not specs:
+        raise ValueError("no table can be joined to the ids")
     made = compile_features(train.select(spec.id_col, spec.target_col), spec.id_col, tables, specs).cache()
     high = max(v[0] for v in values)
-    chosen = choose(made.withColumn("__y", (F.col(spec.target_col) == F.lit(high)).cast("int")), [s.name for s in specs], "__y", spec.max_features) if specs else []
+    chosen = choose(made.withColumn("__y", (F.col(spec.target_col) == F.lit(high)).cast("int")), [s.name for s in specs], "__y", spec.max_features)
+    if not chosen:
+        raise ValueError("no candidate feature varies")
     if time.perf_counter() - began > spec.budget_s:
         raise TimeoutError("the search took longer than its budget")
     kept = [s for s in specs if s.name in chosen]
-    if not chosen:
-        out = {"train": noise_features(train, spec.id_col, 1), "test": noise_features(test, spec.id_col, 1)}
-    else:
-        out = {k: compile_features(df, spec.id_col, tables, kept).select(*df.columns, *chosen) for k, df in (("train", train), ("test", test))}
+    out = {k: compile_features(df, spec.id_col, tables, kept).select(*df.columns, *chosen) for k, df in (("train", train), ("test", test))}
     broken = violations(spark, {"train": train, "test": test}, out, id_col=spec.id_col).collect()
     if broken:
         raise ValueError(f"output contract: {broken}")

@@ -134,3 +134,24 @@ def test_streams(spark, tmp_path):
     stream = ev.event_stream(spark, folder)
     out = ev.run_once(ev.sessions(stream), "sessions_test", str(tmp_path / "c"), "append")
     assert out.count() > 0 and out.where("end <= start").count() == 0
+
+
+def test_run_walks_joins(spark, tmp_path):
+    data = tmp_path / "in"
+    n = 40
+    orders = spark.range(1000, 1000 + 2 * n).selectExpr("id as o_orderkey", "cast((id - 1000) % 40 as bigint) as o_custkey", "cast(id % 3 as int) as o_prio", "date_add(date'2020-01-01', cast(id % 5 as int)) as o_date", "id % 2 = 0 as o_open")
+    lines = spark.range(0, 4 * n).selectExpr("1000 + id % 80 as l_orderkey", "cast((id % 40) % 2 * 10 + id % 7 as int) as l_qty")
+    ids = spark.range(n).selectExpr("id as c_custkey", "cast(id % 2 as int) as y")
+    for name, df in {"orders": orders, "lineitem": lines, "customer": ids.selectExpr("c_custkey", "c_custkey % 4 as c_rank"), "train": ids.where("c_custkey < 30"), "test": ids.where("c_custkey >= 30").drop("y")}.items():
+        df.write.parquet(str(data / f"{name}.parquet"))
+    tables = pipeline.history_tables(pipeline.TableCatalog(spark, str(data)), "c_custkey")
+    assert set(tables) == {"customer", "orders", "lineitem"} and tables["lineitem"].where("c_custkey = 3").count() == 4
+    names = {s.name for s in pipeline.candidate_specs(tables, "c_custkey", "y")}
+    assert {"lineitem_avg_l_qty", "orders_max_o_date", "orders_avg_o_open", "orders_sum_o_prio", "customer_c_rank"} <= names
+    chosen = pipeline.run(spark, str(data), str(tmp_path / "out"), pipeline.TaskSpec("c_custkey", "y"))
+    assert chosen and not any(c.startswith("ft_") for c in chosen)
+    bare = tmp_path / "bare"
+    for name in ("train", "test"):
+        spark.read.parquet(str(data / f"{name}.parquet")).write.parquet(str(bare / f"{name}.parquet"))
+    with pytest.raises(ValueError, match="joined"):
+        pipeline.run(spark, str(bare), str(tmp_path / "out2"), pipeline.TaskSpec("c_custkey", "y"))
