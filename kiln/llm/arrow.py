@@ -3,31 +3,61 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .common import ship
 
-#: Characters of text that a task handles at once, beyond a single word.
+#: Bytes of text that a task handles at once, beyond a single row or word.
 SLICE = 1 << 20
 _blank = re.compile(r"[\x20\x09-\x0D]")
 
 
+class _Kept:
+    """The one thing that a Python worker process keeps from task to task."""
+
+    name: Hashable = None
+    value: object = None
+    asked = False
+
+
+def kept(name: Hashable, make: Callable[[], object]):
+    """``make()``, once a worker process: it stays until a task keeps another thing or none."""
+    if _Kept.name != name:
+        release()
+        _Kept.name, _Kept.value = name, make()
+    _Kept.asked = True
+    return _Kept.value
+
+
+def release() -> None:
+    """Let go of what earlier tasks kept: workers outlive stages, and the next stage needs the memory."""
+    _Kept.name = _Kept.value = None
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Each batch in runs of rows whose texts hold about ``size`` characters, with those texts (null: empty)."""
+    """Each batch in runs of rows whose texts hold about ``size`` bytes, with those texts (null: empty).
+
+    Lengths come from the Arrow offsets, so only one run at a time becomes Python strings.
+    """
     for batch in batches:
-        texts = [x or "" for x in batch.column(text).to_pylist()]
+        column = batch.column(text)
         start = held = 0
-        for i, x in enumerate(texts):
-            if i > start and held + len(x) > size:
-                yield batch.slice(start, i - start), texts[start:i]
+        cuts = []
+        for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+            if i > start and held + n > size:
+                cuts.append((start, i))
                 start, held = i, 0
-            held += len(x)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+            held += n
+        if start < batch.num_rows:
+            cuts.append((start, batch.num_rows))
+        for a, b in cuts:
+            yield batch.slice(a, b - a), [x or "" for x in column.slice(a, b - a).to_pylist()]
 
 
 def segments(text: str, size: int = SLICE) -> Iterator[tuple[int, str]]:
@@ -55,9 +85,17 @@ def add_columns(df: DataFrame, text: str, keep: list[str], added: StructType, pe
     schema = StructType([*(df.schema[c] for c in keep), *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _Kept.asked = False
         work = per_slice()
+        if not _Kept.asked:
+            release()
         for batch, texts in slices(batches, text):
             columns = work(texts)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names=[*keep, *(f.name for f in added)])
 
     return df.select(*(f"`{c}`" for c in carried)).mapInArrow(run, schema)
+
+
+def beside(df: DataFrame, text: str, row: str, body: str) -> DataFrame:
+    """All columns of ``df`` as one struct ``row``, and its text as ``body``: names of the input can't clash with what is added."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(row), F.col(f"`{text}`").alias(body))

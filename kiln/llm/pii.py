@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import add_columns
+from .arrow import add_columns, beside
 from .common import table
 from .spans import span_text
 
@@ -302,11 +302,11 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def mask(docs: DataFrame, field: Field | None, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``docs`` with personal data masked and ``n_chars`` (where there is such a column) as the new length; other columns stay, null texts too."""
-    added = T.StructType([T.StructField("__masked", T.StringType())])
-    names = docs.columns
-    done = add_columns(docs, text, names, added, lambda: lambda texts: [pa.array([masked(t, tag(t, field)[1]) for t in texts], pa.string())])
-    new = F.when(F.col(f"`{text}`").isNotNull(), F.col("__masked"))
-    return done.select(*((new.alias(c) if c == text else F.length(new).cast(docs.schema[c].dataType).alias(c) if c == n_chars else F.col(f"`{c}`")) for c in names))
+    added = T.StructType([T.StructField("masked", T.StringType())])
+    packed = beside(docs, text, "row", "body")
+    done = add_columns(packed, "body", ["row"], added, lambda: lambda texts: [pa.array([masked(t, tag(t, field)[1]) for t in texts], pa.string())])
+    new = F.when(F.col("row").getField(text).isNotNull(), F.col("masked"))
+    return done.select(*((new if c == text else F.length(new).cast(docs.schema[c].dataType) if c == n_chars else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ documents are scored, whole.
 
 Defined results: null text counts as empty and is scored like it; labels null or other than 0 and 1, and labels without a
 document, are not learnt from; with one class or no label at all the score is the smoothed share of label 1 for every
-text; repeated label rows count as often as they occur; an empty table gives no rows; further columns of the table are kept by ``score``.
+text; repeated rows of labels and documents count as often as they occur, up to ``TRAIN_ROWS`` rows in all; an empty table gives no rows; further columns of the table are kept by ``score``.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import add_columns
+from .arrow import add_columns, beside
 from .common import mix64, table
 
 #: The most labelled rows that a fit takes.
@@ -172,8 +172,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Add
     """Fit on the labelled, not held-out documents whose ids hash lowest, at most ``train_rows`` of them."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("l_id"), "quality")
     chosen = known.where(~held_out("l_id")).orderBy(F.xxhash64("l_id"), "quality").limit(train_rows)
-    # At most train_rows rows of two numbers are broadcast, so texts are not shuffled.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+    # At most train_rows rows of two numbers are broadcast, so texts are not shuffled. Ids may repeat in documents too, so rows are limited again.
+    rows = docs.select(F.col("doc_id").alias("d_id"), "text").join(F.broadcast(chosen), F.col("d_id") == F.col("l_id"))
+    rows = rows.select("text", "quality", F.xxhash64("d_id", "text", "quality").alias("turn"))
+    if rows.select("turn").limit(train_rows + 1).count() > train_rows:
+        last = rows.select("turn").orderBy("turn").limit(train_rows).agg(F.max("turn")).first()[0]
+        rows = rows.where(F.col("turn") <= last).limit(train_rows)
     measured = add_columns(rows, "text", ["quality"], T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))]), lambda: lambda texts: [pa.array(list(features(texts)), pa.list_(pa.float64()))])
     got = measured.toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
@@ -201,4 +205,4 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
     """The pipeline's stage: documents scored at least ``least``, with their columns. Held-out labels are not learnt from here either."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model, docs.columns).where(F.col("score") >= least).select(*docs.columns)
+    return score(beside(docs, "text", "row", "text"), model, ["row"]).where(F.col("score") >= least).select("row.*")

@@ -1,5 +1,7 @@
 """The additive model: held-out accuracy, tables against a direct sum, and edge cases."""
 
+import zlib
+
 import numpy as np
 
 from kiln.llm import quality
@@ -35,3 +37,20 @@ def test_edges(spark):
         rows = quality.score(docs, quality.fit(docs, labels), ["doc_id"]).collect()
         assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
     assert quality.score(docs.limit(0), quality.fit(docs.limit(0), none), ["doc_id"]).count() == 0
+
+
+def test_rows_of_a_fit_are_bounded_and_held_out_is_crc32(spark, tmp_path):
+    docs = spark.createDataFrame([(i % 7, f"a b {i % 50}", i) for i in range(900)], "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(7)], "doc_id long, quality int, toxic int")
+    sizes = []
+    plain = quality.Additive.__init__
+    quality.Additive.__init__ = lambda self, x, y: (sizes.append(len(y)), plain(self, x, y))[1]
+    try:
+        quality.fit(docs, labels, 100)
+    finally:
+        quality.Additive.__init__ = plain
+    assert sizes == [100]
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    assert quality.keep_good(spark, docs, str(tmp_path), 0.0).columns == docs.columns  # a column named score stays
+    ids = spark.range(-5, 300).select("id", quality.held_out("id").alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in ids)
