@@ -1,6 +1,7 @@
 """Encoding and decoding against the tokenizers library, on chosen and random texts."""
 
 import hashlib
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -34,7 +35,26 @@ def test_any_text(text):
 def test_query_rows(spark):
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)] + [(99, None, None), (99, None, None)], "doc_id long, text string, ids0 string")
     rows = {r.doc_id: r for r in bpe.decode(bpe.encode(df, ["doc_id"]), ["doc_id", "ids"]).collect()}
+    assert rows == {r.doc_id: r for r in bpe.round_trip(df, ["doc_id"]).collect()}
     assert rows[99].ids == b"" and rows[99].decoded == ""
     for i, t in enumerate(TEXTS):
         assert hashlib.sha256(rows[i].ids).digest() == hashlib.sha256(np.array(expect(t), "<u4").tobytes()).digest()
     assert bpe.encode(df.limit(0), ["doc_id"]).count() == 0
+
+
+def test_long_pieces():
+    rng = np.random.default_rng(1)
+    letters = "".join(map(chr, rng.integers(97, 107, 100_000)))
+    began = time.time()
+    for text in ("a" * 200_000, letters, "=" * 20_000, "xy " + "b" * 17):
+        assert np.frombuffer(OWN.encode([text])[0], "<u4").tolist() == expect(text)
+    assert time.time() - began < 60
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 20_000)
+    own = bpe.SegmentTreeBPE(bpe.default_path())
+    for k in range(30):
+        text = " ".join(f"w{i}x" for i in range(100 * k, 100 * k + 100))
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == expect(text)
+        assert own.words.held <= 20_000 and own.pieces.held <= 20_000
