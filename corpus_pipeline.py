@@ -1,7 +1,7 @@
 """The corpus pipeline: quality, near duplicates, personal data, mixing, token ids.
 
 Every stage takes what its predecessor kept, as stored Parquet. Null, empty and repeated rows keep the results that the operators
-define; an empty table passes through.
+define; an empty table passes through. A row's columns travel in one struct, so they may have any names.
 """
 
 from __future__ import annotations
@@ -17,6 +17,11 @@ from kiln.llm.ngram_join import ngram_classes
 MAX_BROADCAST_KEYS = 1_000_000
 
 
+def packed(docs: DataFrame, *read: str) -> DataFrame:
+    """All columns as one struct ``row``, and beside it those that a stage reads."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *read)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     return quality.keep_good(spark, docs, sf_dir)
@@ -32,15 +37,17 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = classes.where(~F.col("first")).select("doc_id", "text_hash").union(repeated).distinct()
     gone, repeated = stored(gone, "gone"), stored(repeated, "repeated")
 
+    whole = packed(docs, "doc_id", "text")
+
     def having(keys: DataFrame, how: str) -> DataFrame:
         keys = keys.select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
         keys = F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
-        return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.xxhash64("text") == F.col("k_hash")), how)
+        return whole.join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.xxhash64("text") == F.col("k_hash")), how)
 
     kept = having(gone, "left_anti")
-    if repeated.isEmpty():
-        return kept
-    return kept.unionByName(having(repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+    if not repeated.isEmpty():
+        kept = kept.unionByName(having(repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept.select("row.*")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,18 +57,13 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it."""
-    taken = mixing.mix(docs).where(F.col("mix_repeats") > 0)
-    repeats = taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_repeats").cast("int"))))
-    return repeats.select(*docs.columns)
+    taken = mixing.mix(packed(docs, "doc_id", "text", "source")).where(F.col("mix_repeats") > 0)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_repeats").cast("int")))).select("row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and the digests of ids and decoded text of every row."""
-    encoded = bpe.encode(docs, ["doc_id", "source"])
-    return bpe.decode(encoded, ["doc_id", "source", "ids"]).select(
-        "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(bpe.round_trip(docs, ["doc_id", "source"]), ["doc_id", "source"])
 
 
 STAGES = [
