@@ -96,3 +96,12 @@ def test_run_and_empty(spark, folder, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_columns(spark, folder):
+    names = ["score", "row", "body", "masked", "k_id", "k_hash", "mix_size", "mix_target", "mix_repeats", "mix_copy", "mix_source_size", "src", "turn"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", *(f"-{i} AS `{n}`" for i, n in enumerate(names)))
+    for name, stage in cp.STAGES[:-1]:
+        docs = cp.stored(stage(spark, docs, folder), name)
+        assert docs.columns[5:] == names and docs.count() > 50
+        assert docs.select(*names).distinct().collect() == [tuple(-i for i in range(len(names)))]
