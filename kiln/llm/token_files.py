@@ -1,6 +1,6 @@
 """Token ids in binary files: canonical length-limited Huffman codes from global counts.
 
-Ids are made once and stored; their counts over all documents give one code table. Documents are then dealt out
+Ids are made once and stored, with counts at each task's end; the sums over all documents give one code table. Documents are then dealt out
 by ranges of doc_id, and each task writes its range, in order, as files of at most ``FILE_TOKENS`` ids (or one
 document). In a file the ids are cut into blocks of ``BLOCK`` ids; the bit offset of every block is kept, so blocks decode
 independently: the reader looks up one code in each of many blocks at a time in a table of 2**max_len entries.
@@ -12,7 +12,7 @@ File: magic, six unsigned 64-bit numbers (table size, longest code, documents, i
 deflated code lengths; these lengths; then doc_id, null flag and number of ids per document, block offsets, payload.
 
 Defined results: null text counts as empty, a null doc_id comes first, rows with equal doc_id are ordered by
-their ids, every document ends with the end id, an empty table writes nothing and reads as no rows. Further columns of the table are not read.
+a hash of their ids, every document ends with the end id, an empty table writes nothing and reads as no rows. Further columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,42 +30,48 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .arrow import add_columns, segments
+from .arrow import kept, release, segments, slices
 from .bpe import Splitter, byte_chars, default_path
-from .common import shared_dir, stored, table
+from .common import shared_dir, ship, stored, table
 
 MAGIC = b"KILNHUF1"
 BLOCK = 256
 FILE_TOKENS = 2_000_000
+#: Ids that a part of the order holds on average, at most.
+PART_TOKENS = 2 * FILE_TOKENS
 MAX_LEN = 18
-#: Words, and pieces of words, that a task remembers.
-CACHED_WORDS = 350_000
+#: Bytes that a task may hold as words, pieces of words and their ids, and what an entry takes: two small objects and their place in a dictionary.
+WORDS_BYTES, ENTRY_BYTES = 256 << 20, 170
+#: Ids that are packed at once.
+CHUNK = 1 << 15
 
 
 class LibraryIds(dict):
-    """Ids of blank-free words as bytes (two an id where ``small``), by the tokenizers library's model; a word that isn't known yet is looked up by its pieces.
+    """Ids of blank-free words as bytes, by the tokenizers library's model; a word that isn't known yet is looked up by its pieces.
 
     The library's ids for a text are those of the text's words in turn; the tests hold this against its encoding of whole texts.
     """
 
-    def __init__(self, path: str, small: bool):
+    def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
 
-        self.letter = "H" if small else "I"
+        self.letter = {"<u2": "H", "<u4": "I"}[kind]
         with open(path, encoding="utf-8") as f:
             self.splitter = Splitter(json.load(f), path)
         self.model = Tokenizer.from_file(path).model
         self.chars = {b: ord(c) for b, c in enumerate(byte_chars())}
         self.special = {t: struct.pack(f"<{self.letter}", i) for t, i in self.splitter.special.items()}
         self.pieces: dict[str, bytes] = {}
+        self.held = 0
 
     def piece(self, p: str) -> bytes:
         ids = self.pieces.get(p) or self.special.get(p)
         if ids is None:
-            tokens = self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.chars))
+            tokens = self.model.tokenize(p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.chars))
             ids = self.pieces[p] = struct.pack(f"<{len(tokens)}{self.letter}", *[t.id for t in tokens])
+            if len(p) > 32:
+                self.held += len(ids) + len(p)
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
@@ -74,59 +79,66 @@ class LibraryIds(dict):
         if text.isascii():
             low = text.lower()
             if low.isalpha():
-                ids = self.piece(low)
-            elif low[-1] in ",.:;!?" and low[:-1].isalpha():
-                ids = self.piece(low[:-1]) + self.piece(low[-1])
+                ids = self.pieces.get(low) or self.piece(low)
+            elif low[-1] in ",.:;!?" and (stem := low[:-1]).isalpha():
+                ids = (self.pieces.get(stem) or self.piece(stem)) + self.piece(low[-1])
             else:
                 ids = b"".join(map(self.piece, self.splitter.pieces(text)))
         else:
             ids = b"".join(map(self.piece, self.splitter.pieces(text)))
         self[word] = ids
+        if len(word) > 32:  # what is shorter counts as an entry
+            self.held += len(ids) + len(word)
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = [b"".join([b"".join(map(self.__getitem__, part.encode().split())) for _, part in segments(t)]) for t in texts]
-        for known in (self, self.pieces):
-            if len(known) > CACHED_WORDS:  # frequent words come early
-                for w in list(known)[CACHED_WORDS // 2 :]:
-                    del known[w]
+        out = []
+        for text in texts:
+            parts = []
+            for _, part in segments(text):
+                parts.append(b"".join(map(self.__getitem__, part.encode().split())))
+                if self.held + ENTRY_BYTES * (len(self) + len(self.pieces)) > WORDS_BYTES:
+                    self.forget()
+            out.append(parts[0] if len(parts) == 1 else b"".join(parts))
         return out
 
+    def forget(self) -> None:
+        for known in (self, self.pieces):
+            for w in list(known)[len(known) // 2 :]:  # frequent words come early
+                del known[w]
+        self.held = sum(len(k) + len(v) for known in (self, self.pieces) for k, v in known.items() if len(k) > 32)
 
-@lru_cache(maxsize=2)
-def library(path: str, small: bool) -> LibraryIds:
-    return LibraryIds(path, small)
-
-
-def encoded(docs: DataFrame, path: str, end_id: int, vocab_size: int) -> DataFrame:
-    """doc_id and ids, two bytes each where the vocabulary allows it."""
-    small = vocab_size <= 1 << 16
-    end = struct.pack("<H" if small else "<I", end_id)
-
-    def work():
-        lib = library(path, small)
-        return lambda texts: [pa.array([x + end for x in lib.encode(texts)], pa.binary())]
 
-    return add_columns(docs, "text", ["doc_id"], T.StructType([T.StructField("ids", T.BinaryType())]), work)
+ENCODED = "doc_id long, ids binary, id array<int>, n array<long>"
+_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("id", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
 
 
-def id_counts(ids: DataFrame, kind: str, vocab_size: int) -> np.ndarray:
-    """How often each id occurs; as many rows come to the driver as the vocabulary has ids."""
+def encoded(docs: DataFrame, path: str, end_id: int, vocab_size: int, kind: str) -> DataFrame:
+    """doc_id and ids of every document with its end id, and at a task's end one row more: how often each id occurred in it."""
+    ship(docs.sparkSession)
+    end = np.array(end_id, kind).tobytes()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library.cache_clear()  # Python workers outlive the stage that encodes; its memory goes before the next ones begin
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lib = kept(("library", path, kind), lambda: LibraryIds(path, kind))
         total = np.zeros(vocab_size, np.int64)
-        for batch in batches:
-            for x in batch.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(x, kind), minlength=vocab_size) if len(x) > vocab_size else 0
-                if len(x) <= vocab_size:
-                    np.add.at(total, np.frombuffer(x, kind), 1)
+        for batch, texts in slices(batches, "text"):
+            ids = [x + end for x in lib.encode(texts)]
+            for x in ids if len(texts) == 1 else [b"".join(ids)]:
+                total += np.bincount(np.frombuffer(x, kind), minlength=vocab_size)
+            none = pa.nulls(len(ids), pa.list_(pa.int32())), pa.nulls(len(ids), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), *none], schema=_ENCODED)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([some.tolist()], _ENCODED.field("id").type), pa.array([total[some].tolist()], _ENCODED.field("n").type)], schema=_ENCODED)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ENCODED)
+
 
-    rows = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+def id_counts(rows: DataFrame, vocab_size: int) -> np.ndarray:
+    """How often each id occurs, from the counts that tasks left; as many rows come to the driver as the vocabulary has ids."""
+    each = rows.where(F.col("ids").isNull()).select(F.explode(F.arrays_zip("id", "n")).alias("c")).groupBy("c.id").agg(F.sum("c.n").alias("n"))
     counts = np.zeros(vocab_size, np.int64)
-    for r in rows:
+    for r in each.collect():
         counts[r.id] = r.n
     return counts
 
@@ -183,18 +195,16 @@ class Code:
         lengths = self.lengths[ids].astype(np.int64)
         ends = np.cumsum(lengths)
         offsets = (ends - lengths)[::BLOCK]
-        parts, carry = [], np.zeros(0, np.uint8)
-        codes = self.codes.astype(np.int32)
-        for k in range(0, len(ids), 1 << 15):
-            n = lengths[k : k + (1 << 15)]
-            last = np.cumsum(n, dtype=np.int32)
-            shift = np.repeat(last - 1, n) - np.arange(last[-1], dtype=np.int32)
-            bits = np.concatenate([carry, (np.repeat(codes[ids[k : k + (1 << 15)]], n) >> shift & 1).astype(np.uint8)])
-            whole = len(bits) // 8 * 8
-            parts.append(np.packbits(bits[:whole]).tobytes())
-            carry = bits[whole:]
-        parts.append(np.packbits(carry).tobytes())
-        return b"".join(parts), offsets
+        words = np.zeros((int(ends[-1]) + 63) // 64 + 1 if len(ids) else 1, np.uint64)
+        for k in range(0, len(ids), CHUNK):
+            code, n, last = self.codes[ids[k : k + CHUNK]].astype(np.uint64), lengths[k : k + CHUNK], ends[k : k + CHUNK] - 1
+            word, bit = last >> 6, last & 63  # a code ends at this bit of this 64-bit word, counted from the top
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            words[word[starts]] |= np.bitwise_or.reduceat(code << (63 - bit).astype(np.uint64), starts)
+            over = np.flatnonzero(bit + 1 < n)  # its first bits belong to the word before; at most one code does so a word
+            words[word[over] - 1] |= code[over] >> (bit[over] + 1).astype(np.uint64)
+        payload = words.astype(">u8").tobytes()
+        return payload[: (int(ends[-1]) + 7) // 8 if len(ids) else 0], offsets
 
     def decode(self, payload: bytes, offsets: np.ndarray, n_ids: int) -> np.ndarray:
         data = np.frombuffer(payload + bytes(BLOCK * 8 + 8), np.uint8).astype(np.uint32)
@@ -241,15 +251,20 @@ def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 
 
-def write_files(ids: DataFrame, lengths: np.ndarray, kind: str, folder: str) -> DataFrame:
-    """Write stored ``ids(doc_id, ids)`` in order of doc_id; the list of files, in order by part and seq."""
+def write_files(ids: DataFrame, lengths: np.ndarray, n_tokens: int, kind: str, folder: str) -> DataFrame:
+    """Write stored ``ids(doc_id, ids)`` in order of doc_id; the list of files, in order by part and seq.
+
+    Parts follow from the number of ids, so a task's share is bounded at any size. Rows of one doc_id are cut by a hash of their ids, so none is a part of its own for that.
+    """
     spark = ids.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = ids.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_tokens // PART_TOKENS))
+    keyed = ids.select("doc_id", "ids", F.xxhash64("ids").alias("ids_hash"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("ids_hash")]
+    ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order, "ids").select("doc_id", "ids")
     packed = lengths.tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library.cache_clear()
+        release()
         code = Code(np.frombuffer(packed, np.uint8))
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
@@ -279,12 +294,15 @@ def write_files(ids: DataFrame, lengths: np.ndarray, kind: str, folder: str) ->
 
 def read_files(manifest: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), ids (little-endian unsigned 32-bit integers, binary)."""
-    before = W.orderBy("part", "seq").rowsBetween(W.unboundedPreceding, -1)
-    placed = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    # Files are summed within their part; only the sums of parts, two numbers each, are put in order together.
+    sums = manifest.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
+    sums = sums.select(F.col("part").alias("p"), (F.sum("part_tokens").over(W.orderBy("part")) - F.col("part_tokens")).alias("part_base"))
+    before = W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
+    placed = manifest.join(sums, F.col("part") == F.col("p")).withColumn("base", F.col("part_base") + F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library.cache_clear()
+        release()
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 store, at = fs.FileSystem.from_uri(path)
@@ -308,11 +326,12 @@ def write_corpus(docs: DataFrame, path: str | None = None, end_id: int = 1, max_
     size = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
     kind = "<u2" if size <= 1 << 16 else "<u4"
     folder = shared_dir(docs.sparkSession)
-    ids = encoded(docs, path, end_id, size)
-    ids.write.option("compression", "zstd").parquet(f"{folder}/ids")
-    ids = docs.sparkSession.read.schema(ids.schema).parquet(f"{folder}/ids")
-    lengths = code_lengths(id_counts(ids, kind, size), max(max_len, size.bit_length()))
-    return write_files(ids, lengths, kind, folder)
+    rows = encoded(docs, path, end_id, size, kind)
+    rows.write.option("compression", "zstd").parquet(f"{folder}/ids")
+    rows = docs.sparkSession.read.schema(rows.schema).parquet(f"{folder}/ids")
+    counts = id_counts(rows, size)
+    lengths = code_lengths(counts, max(max_len, size.bit_length()))
+    return write_files(rows.where(F.col("ids").isNotNull()), lengths, int(counts.sum()), kind, folder)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,23 @@ def test_rows(spark):
     got = [(r.doc_id, r.start, zlib.crc32(r.ids)) for r in tf.read_files(tf.write_corpus(df.repartition(3))).collect()]
     assert sorted(got, key=lambda x: x[1]) == expected
     assert tf.read_files(tf.write_corpus(df.limit(0))).count() == 0
+
+
+LIB = Tokenizer.from_file(bpe.default_path())
+OWN = tf.LibraryIds(bpe.default_path(), "<u2")
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text_has_the_ids_of_the_library(text):
+    assert np.frombuffer(OWN.encode([text])[0], "<u2").tolist() == LIB.encode(text, add_special_tokens=False).ids
+
+
+def test_one_id_on_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(tf, "FILE_TOKENS", 50)
+    monkeypatch.setattr(tf, "PART_TOKENS", 100)
+    df = spark.createDataFrame([(7, f"word{i} again") for i in range(200)], "doc_id long, text string")
+    files = tf.write_corpus(df)
+    assert files.select("part").distinct().count() > 4
+    rows = sorted((r.start, len(r.ids) // 4) for r in tf.read_files(files).collect())
+    assert len(rows) == 200 and all(a + n == b for (a, n), (b, _) in zip(rows, rows[1:]))
