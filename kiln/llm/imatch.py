@@ -12,12 +12,14 @@ documents, so there are at most (mean distinct terms of a document) / MIN_SHARE
 holds in fact (``MAX_BROADCAST_TERMS``); otherwise Spark chooses the join.
 
 Defined results: null text counts as empty. A text without any term of the lexicon is fingerprinted by the hash of the text
-itself, so equal texts have equal fingerprints and others don't. Rows are ordered by doc_id (null last), then text.
+itself, so equal texts have equal fingerprints and others don't. Rows are ordered by doc_id (an integer; null last), then a hash of the text.
 An empty table gives no rows; a single document is its own next. Further columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,8 +34,10 @@ MAX_BROADCAST_TERMS = 2_000_000
 NO_TERM = "-" * 16
 #: Rows that an order range holds on average.
 ROWS_A_RANGE = 2000
-#: Beyond so many ranges they get longer; a range is sorted with spilling and then streams.
-MAX_RANGES = 4096
+#: Cells that quantiles cut the order of ids into, at most; the ranges of a cell are equal parts of it, as many as its rows ask for.
+MAX_CELLS = 4096
+#: Numbers of rows that a range has room for in ``pos``.
+RANGE_SPAN = 1 << 32
 
 
 def exploded_terms(df: DataFrame, text: str = "text") -> DataFrame:
@@ -108,31 +112,75 @@ def cuts_upto(value: Column, cuts: list[int], block: int = 64) -> Column:
     return passed * block + F.coalesce(F.when(passed < len(blocks), F.size(F.filter(inner, lambda c: c <= value))), F.lit(len(cuts) - len(blocks) * block))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, pos and the text and pos of the next document in descending doc_id (after the last: the first).
+def order_cells(docs: DataFrame) -> tuple[list[tuple[int, int, int]], int]:
+    """(low, high, ranges) of cells of doc_id, from low on and below high, in order; and the ranges for null ids.
 
-    Ranges of doc_id from its quantiles are ordered apart; the first row of each range, one row a range, serves the last row of the range before.
+    Cells come from quantiles. An id that fills several of them is a cell of its own, so that the hash of the text can cut it.
     """
     n = docs.count()
-    ranges = max(1, min(MAX_RANGES, n // ROWS_A_RANGE))
-    cuts = docs.agg(F.expr(f"percentile_approx(doc_id, array({','.join(str(k / ranges) for k in range(1, ranges))}), 10000)").alias("q")).first().q if ranges > 1 else []
-    cuts = sorted(set(cuts or []))
-    above = F.lit(len(cuts)) - cuts_upto(F.col("doc_id"), cuts) if cuts else F.lit(0)
-    ranged = docs.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above).cast("long").alias("range"))
-    # The first row of each range: its largest id, then the least text of that id.
-    tops = ranged.groupBy("range").agg(F.max("doc_id").alias("top")).withColumnRenamed("range", "t_range")
-    # At most MAX_RANGES + 1 rows of two numbers, so texts stay where they are.
-    heads = ranged.join(F.broadcast(tops), (F.col("range") == F.col("t_range")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("range").agg(F.min(F.coalesce("text", F.lit(""))).alias("head"))
-    chain = W.orderBy("range")
-    follow = lambda c: F.coalesce(F.lead(c).over(chain), F.first(c).over(W.orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)))
-    heads = stored(heads, "heads").select(F.col("range").alias("h_range"), follow("head").alias("head_text"), (follow("range") * (1 << 40) + 1).alias("head_pos"))
-    order = W.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.coalesce("text", F.lit("")))
-    rows = ranged.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "range", (F.col("range") * (1 << 40) + F.row_number().over(order)).alias("pos"), F.lead(F.coalesce("text", F.lit(""))).over(order).alias("follower"))
-    joined = rows.join(heads, F.col("range") == F.col("h_range"))
-    last = F.col("follower").isNull()
+    many = max(1, min(MAX_CELLS, n // ROWS_A_RANGE))
+    at = ",".join(str(k / many) for k in range(1, many)) or "0.5"
+    facts = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("some"), F.expr(f"percentile_approx(doc_id, array({at}), 10000)").alias("q")).first()
+    ranges_of = lambda rows: max(1, -(-rows // ROWS_A_RANGE))
+    nulls = ranges_of(n - facts.some)
+    if not facts.some:
+        return [], nulls
+    a_cell = -(-facts.some // many)
+    times = Counter(facts.q) if many > 1 else Counter()
+    hot = {v for v, k in times.items() if k > 1}
+    edges = sorted({facts.low, facts.high + 1, *(v for v in times if facts.low < v), *(v + 1 for v in hot)})
+    return [(a, b, ranges_of(a_cell * times[a] if a in hot else a_cell)) for a, b in zip(edges, edges[1:], strict=False)], nulls
+
+
+def in_ranges(docs: DataFrame) -> DataFrame:
+    """doc_id, text (null: empty), its hash, and ``range``, a number that grows along the order; about ``ROWS_A_RANGE`` rows share one."""
+    cells, nulls = order_cells(docs)
+    body = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("text_hash"))
+    by_hash = lambda many: F.least(F.floor((F.col("text_hash") / 2.0**64 + 0.5) * many), many - 1).cast("long")
+    total = sum(k for *_, k in cells)
+    of_nulls = total + by_hash(F.lit(nulls))
+    if not cells:
+        return rows.withColumn("range", of_nulls)
+    bases, left = [], total
+    for *_, k in cells:
+        left -= k
+        bases.append(left)
+    # A row per cell, at most 2 * MAX_CELLS.
+    table_ = docs.sparkSession.createDataFrame([(i, float(b), float(b - a), k, base, b - a == 1) for i, ((a, b, k), base) in enumerate(zip(cells, bases, strict=True))], "cell int, above double, width double, ranges long, base long, one boolean")
+    cell = cuts_upto(F.col("doc_id"), [a for a, *_ in cells[1:]]) if len(cells) > 1 else F.lit(0)
+    placed = rows.withColumn("at", F.when(F.col("doc_id").isNotNull(), cell)).join(F.broadcast(table_), F.col("at") == F.col("cell"), "left")
+    by_id = F.least(F.greatest(F.floor((F.col("above") - 1 - F.col("doc_id")) / F.col("width") * F.col("ranges")), F.lit(0)), F.col("ranges") - 1).cast("long")
+    known = F.col("base") + F.when(F.col("one"), by_hash(F.col("ranges"))).otherwise(by_id)
+    return placed.select("doc_id", "text", "text_hash", F.when(F.col("doc_id").isNull(), of_nulls).otherwise(known).alias("range"))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """range, doc_id, text, pos and the text and pos of the next document in descending doc_id (after the last: the first).
+
+    Ranges are ordered apart; the first row of each serves the last row of the range before.
+    """
+    ranged = in_ranges(docs)
+    # The first row of a range has its largest id, then the least hash of a text.
+    tops = ranged.groupBy(F.col("range").alias("t_range")).agg(F.max(F.struct("doc_id", F.bitwise_not("text_hash").alias("turned"))).alias("top"))
+    tops = bounded(stored(tops.select("t_range", "top.doc_id", F.bitwise_not("top.turned").alias("top_hash")).withColumnRenamed("doc_id", "top_id"), "tops"))
+    # Two numbers a range; beyond the limit of a broadcast Spark shuffles texts for this join.
+    met = ranged.join(tops, (F.col("range") == F.col("t_range")) & F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("text_hash") == F.col("top_hash")))
+    heads = stored(met.groupBy("range").agg(F.min("text").alias("head_text")), "heads")
+    # The range that follows: within blocks of ranges, and from the last of a block to the first of the next that has any.
+    block = F.shiftright("range", 12)
+    firsts = heads.groupBy(block.alias("block")).agg(F.min("range").alias("first"))
+    chain = W.orderBy("block")
+    firsts = firsts.select(F.col("block").alias("b"), F.coalesce(F.lead("first").over(chain), F.min("first").over(W.partitionBy())).alias("then"))
+    inner = F.lead("range").over(W.partitionBy("block").orderBy("range"))
+    nexts = heads.select("range", block.alias("block")).withColumn("after", inner).join(firsts, F.col("block") == F.col("b")).select(F.col("range").alias("n_range"), F.coalesce("after", "then").alias("next_range"))
+    follow = nexts.join(heads.withColumnRenamed("range", "h_range"), F.col("next_range") == F.col("h_range")).select("n_range", "head_text", (F.col("next_range") * RANGE_SPAN + 1).alias("head_pos"))
+    order = W.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), "text_hash", "text")
+    rows = ranged.select("range", "doc_id", "text", (F.col("range") * RANGE_SPAN + F.row_number().over(order)).alias("pos"), F.lead("text").over(order).alias("follower"))
+    joined = rows.join(follow, F.col("range") == F.col("n_range"))
     return joined.select(
-        "doc_id", "text", "pos", F.coalesce("follower", "head_text").alias("next_text"),
-        F.when(last, F.col("head_pos")).otherwise(F.col("pos") + 1).alias("next_pos"),
+        "range", "doc_id", "text", "pos", F.coalesce("follower", "head_text").alias("next_text"),
+        F.when(F.col("follower").isNull(), F.col("head_pos")).otherwise(F.col("pos") + 1).alias("next_pos"),
     )
 
 
@@ -143,9 +191,10 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))"), F.expr("substring(next_text, 1, cast(floor(length(text) / 3) as int))"))
     both = with_next(docs).withColumn("edited", edited)
     facts = F.struct("doc_id", F.length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.encode("edited", "UTF-8"), 256)).alias("edited_sha256"), "next_pos")
-    each = both.select("pos", facts.alias("facts"), F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
-    prints = fingerprints(each.select("pos", "facts", "v.which", "v.text"), lex, ["pos", "facts", "which"])
-    paired = prints.groupBy("pos", "facts").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
+    # Rows lie by range from the order on, and range leads both groupings, so neither shuffles.
+    each = both.select("range", "pos", facts.alias("facts"), F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
+    prints = fingerprints(each.select("range", "pos", "facts", "v.which", "v.text"), lex, ["range", "pos", "facts", "which"])
+    paired = prints.groupBy("range", "pos", "facts").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
     paired = stored(paired, "prints")
     following = paired.select(F.col("pos").alias("f_pos"), F.col("fingerprint").alias("next_fingerprint"))
     done = paired.join(following, F.col("facts.next_pos") == F.col("f_pos"))

@@ -3,10 +3,50 @@
 import hashlib
 import random
 import re
+from collections import Counter
+
+import xxhash
 
 from kiln.llm import imatch
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def xx(data, seed=42):
+    return xxhash.xxh64_intdigest(data, seed % (1 << 64))
+
+
+def words(text):
+    return {w for w in re.split(r"[^\w]|_", text.lower()) if len(w) > 1}
+
+
+def plain_fingerprint(text, lexicon):
+    kept = []
+    for w in sorted(words(text) & lexicon):
+        t = xx(w.encode())
+        mask = sum(1 << k for k, rate in enumerate(imatch.RATES) if signed(xx(k.to_bytes(4, "little"), xx(t.to_bytes(8, "little")))) % rate == 0)
+        if mask:
+            kept.append(signed(t & ~65535 | mask))
+    kept.sort()
+    parts = []
+    for k in range(len(imatch.RATES)):
+        seed = 42
+        own = [m for m in kept if m >> k & 1]
+        for m in own:
+            seed = xx(m.to_bytes(8, "little", signed=True), seed)
+        parts.append(f"{xx(k.to_bytes(4, 'little'), seed):016x}" if own else imatch.NO_TERM)
+    if set(parts) == {imatch.NO_TERM}:
+        parts = [hashlib.sha256(f"{signed(xx(text.encode()))}:{k}".encode()).hexdigest()[:16] for k in range(len(imatch.RATES))]
+    return ".".join(parts)
+
+
+def plain_likeness(a, b):
+    pairs = [(x, y) for x, y in zip(a.split("."), b.split("."), strict=True) if (x, y) != (imatch.NO_TERM, imatch.NO_TERM)]
+    return sum(x == y for x, y in pairs) / len(pairs)
+
+
 def test_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(imatch, "ROWS_A_RANGE", 7)
     rng = random.Random(5)
@@ -17,13 +57,18 @@ def test_rows(spark, tmp_path, monkeypatch):
     got = {r.doc_id: r for r in imatch.op6_imatch(spark, str(tmp_path)).collect()}
     assert len(got) == len(rows)
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    many = Counter(w for _, t in rows for w in words(t or ""))
+    lexicon = {w for w, n in many.items() if max(2, 0.002 * len(rows)) <= n <= max(2, 0.1 * len(rows))}
+    assert len(lexicon) > 50
     for k, (doc, text) in enumerate(order):
         text, after = text or "", order[(k + 1) % len(order)][1] or ""
         third = len(text) // 3
         edited = text[: len(text) - third] + after[:third]
         assert got[doc].n_chars == len(text)
         assert got[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert 0 <= got[doc].near_edited <= 1 and 0 <= got[doc].near_next <= 1
+        assert got[doc].fingerprint == plain_fingerprint(text, lexicon) and got[doc].edited_fingerprint == plain_fingerprint(edited, lexicon)
+        assert got[doc].near_edited == plain_likeness(got[doc].fingerprint, got[doc].edited_fingerprint)
+        assert got[doc].near_next == plain_likeness(got[doc].fingerprint, plain_fingerprint(after, lexicon))
         if edited == text:
             assert got[doc].near_edited == 1
     assert got[0].fingerprint == got[500].fingerprint and got[501].fingerprint == got[502].fingerprint
@@ -43,3 +88,19 @@ def test_likeness_and_empty(spark):
     assert [r[0] for r in rows.select(imatch.likeness(imatch.F.col("x"), imatch.F.col("y"))).collect()] == [1.0, 0.0, 1.0]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert imatch.with_next(empty).count() == 0 and re.fullmatch("-+", n)
+
+
+def test_order_with_hot_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "ROWS_A_RANGE", 10)
+    rows = [(i, f"t{i}") for i in range(-50, 100)] + [(7, f"hot {i}") for i in range(150)] + [(None, f"none {i}") for i in range(80)] + [(2**63 - 1, "top"), (-(2**63), "bottom"), (30, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = imatch.with_next(docs).collect()
+    assert len(got) == len(rows)
+    by_pos = {r.pos: r for r in got}
+    assert len(by_pos) == len(rows) and all(by_pos[r.next_pos].text == r.next_text for r in got)
+    ordered = sorted(got, key=lambda r: r.pos)
+    ids = [r.doc_id for r in ordered]
+    assert ids == sorted(ids, key=lambda x: (x is None, -(x or 0)))
+    assert all(a.next_pos == b.pos for a, b in zip(ordered, [*ordered[1:], ordered[0]], strict=True))
+    assert max(Counter(r.range for r in got).values()) <= 40
+    assert len({r.range for r in got if r.doc_id == 7}) > 5 and len({r.range for r in got if r.doc_id is None}) > 5
