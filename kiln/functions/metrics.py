@@ -21,12 +21,11 @@ def auc(df: DataFrame, score: str, target: str) -> DataFrame:
 
 
 def auc_by(df: DataFrame, score: str, target: str, by: list[str]) -> DataFrame:
-    """``auc`` per group of ``by``: for few large groups call ``auc`` on each; here a group's distinct scores are ordered together."""
+    """``auc`` per group of ``by``, all groups in one plan; a group's distinct scores are ordered in ranges."""
     counts = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("x")).agg(F.sum(F.col(target).cast("double")).alias("pos"), F.sum(1 - F.col(target).cast("double")).alias("neg"))
-    before = W.partitionBy(*by).orderBy("x").rowsBetween(W.unboundedPreceding, -1)
-    placed = counts.withColumn("before", F.coalesce(F.sum("neg").over(before), F.lit(0.0)))
+    placed = running_before(counts, "x", ["neg"], by)
     total = F.sum("pos") * F.sum("neg")
-    return placed.groupBy(*by).agg(F.when(total > 0, F.sum(F.col("pos") * (F.col("before") + F.col("neg") / 2)) / total).alias("auc"))
+    return placed.groupBy(*by).agg(F.when(total > 0, F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)) / total).alias("auc"))
 
 
 def gini(value: Column) -> Column:
@@ -87,10 +86,10 @@ def stratified_folds(df: DataFrame, row_id: str, target: str, k: int = 5) -> Dat
         total = total + alloc(f)
         ends.append(total)
     sized = sized.select(F.col(target).alias("__class"), F.array(*ends).alias("__ends"))
-    number = F.row_number().over(W.partitionBy(target).orderBy(row_id))
-    joined = df.withColumn("__r", number).join(F.broadcast(sized), F.col(target).eqNullSafe(F.col("__class")))
-    fold = F.size(F.filter("__ends", lambda e: e < F.col("__r")))
-    return joined.withColumn("fold", fold.cast("long")).drop("__class", "__ends", "__r")
+    numbered = running_before(df.withColumn("__one", F.lit(1).cast("long")), row_id, ["__one"], [target])
+    joined = numbered.join(sized, F.col(target).eqNullSafe(F.col("__class")))
+    fold = F.size(F.filter("__ends", lambda e: e <= F.col("__one_before")))
+    return joined.withColumn("fold", fold.cast("long")).drop("__class", "__ends", "__one", "__one_before")
 
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:

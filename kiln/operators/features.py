@@ -42,7 +42,7 @@ def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = ()) -> l
 
 
 def compile_features(ids: DataFrame, id_col: str, tables: dict[str, DataFrame], specs: list[FeatureSpec]) -> DataFrame:
-    """``ids`` with a column per spec: one aggregate per (table, key, filter), one left join each; every id stays once."""
+    """``ids`` with a column per spec: one aggregate per (table, key, filter) and one check and join per (lookup, key); every id stays once."""
     out = ids
     groups: dict[tuple[str, str, str], list[FeatureSpec]] = {}
     for s in specs:
@@ -51,13 +51,15 @@ def compile_features(ids: DataFrame, id_col: str, tables: dict[str, DataFrame],
     for (source, key, where), some in groups.items():
         made = tables[source].where(where).groupBy(F.col(f"`{key}`").alias(id_col)).agg(*(F.expr(s.expr).alias(s.name) for s in some))
         out = lookup_left(out, made, [id_col])
+    lookups: dict[tuple[str, str], list[FeatureSpec]] = {}
     for s in specs:
         if s.family == "lookup":
-            right = tables[s.source].select(F.col(f"`{s.key}`"), F.expr(s.expr).alias(s.name))
-            out = lookup_left(out, right, [s.key], unique=True)
-        elif s.family == "own":
-            out = out.withColumn(s.name, F.expr(s.expr))
-    return out
+            lookups.setdefault((s.source, s.key), []).append(s)
+    for (source, key), some in lookups.items():
+        right = tables[source].select(F.col(f"`{key}`"), *(F.expr(s.expr).alias(s.name) for s in some))
+        out = lookup_left(out, right, [key], unique=True)
+    own = {s.name: F.expr(s.expr) for s in specs if s.family == "own"}
+    return out.withColumns(own) if own else out
 
 
 def recency(at: Column, until: Column) -> Column:

@@ -11,7 +11,7 @@ MAX_FEATURES = 5
 def feature_scores(df: DataFrame, features: list[str], target: str, filler: float = -999.0) -> DataFrame:
     """feature, auc of each: all features in one pass of (feature, value) sums, missing values at the filler.
 
-    Distinct values of a feature are ordered together; a feature of more distinct values than one task should order goes to ``metrics.auc`` alone.
+    The distinct values of a feature are ordered in ranges, so a feature with a value of its own in every row is no task of its own.
     """
     from ..functions.metrics import auc_by
 

@@ -219,8 +219,9 @@ def win_expanding_prior(spark, d):
 
 
 def win_zscore(spark, d):
-    w = W.partitionBy("p_brand")
-    return t(spark, d, "part").select("p_partkey", r6((F.col("p_retailprice") - F.avg("p_retailprice").over(w)) / F.nullif(F.stddev_pop("p_retailprice").over(w), F.lit(0.0)), "z"))
+    p = t(spark, d, "part").select("p_partkey", "p_brand", "p_retailprice")
+    means = p.groupBy("p_brand").agg(F.avg("p_retailprice").alias("m"), F.stddev_pop("p_retailprice").alias("s"))
+    return p.join(means, "p_brand").select("p_partkey", r6((F.col("p_retailprice") - F.col("m")) / F.nullif("s", F.lit(0.0)), "z"))
 
 
 def win_percent_rank(spark, d):
@@ -299,12 +300,7 @@ def enc_rare(spark, d):
 
 
 def ev_auc(spark, d):
-    rows = labelled(spark, d)
-    out = None
-    for c in ("n_chars", "n_words", "is_test"):
-        one = metrics.auc(rows, c, "quality").select(F.lit(c).alias("feature"), r6("auc", "auc"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return select.feature_scores(labelled(spark, d), ["n_chars", "n_words", "is_test"], "quality").select("feature", r6("auc", "auc"))
 
 
 def ev_gini(spark, d):
@@ -395,23 +391,15 @@ def baseline_noise(spark, d):
 
 
 def gbt_cv_score(spark, d):
-    return evaluate.cv_scores(labelled(spark, d), "doc_id", ["n_chars", "n_words", "lang"], "quality", params=evaluate.BoostParams(rounds=3))
+    return evaluate.cv_scores(labelled(spark, d), "doc_id", ["n_chars", "n_words", "lang"], "quality", params=evaluate.BoostParams(rounds=10))
 
 
 def stream_daily_counts(spark, d):
     """The streaming job over the stored table's files: what is there is processed once."""
-    import uuid
-
     from ..streaming import events as ev
 
-    name = f"kiln_daily_{uuid.uuid4().hex}"
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        import tempfile
-
-        shared = tempfile.mkdtemp(prefix="kiln-stream-")
     stream = spark.readStream.schema(ev.EVENTS).option("pathGlobFilter", "events*.parquet").parquet(d)
-    out = ev.run_once(ev.daily_counts(stream), name, f"{shared}/{name}")
+    out = ev.run_once(ev.daily_counts(stream))
     return out.select(F.col("day").cast("date").alias("day"), "event_type", "n", r6("total", "total"))
 
 

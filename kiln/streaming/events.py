@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +29,29 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 day") ->
     return runs.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def run_once(stream: DataFrame, table: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Process what is there and return the result table; the checkpoint folder must be one that all executors share."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(table)
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``; only a local session may go without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='kiln-')}"
+    return f"{base.rstrip('/')}/kiln-{uuid.uuid4().hex}"
+
+
+def run_once(stream: DataFrame, mode: str = "complete") -> DataFrame:
+    """Process what is there and return the result as stored Parquet; a batch that is run again replaces its own rows."""
+    spark = stream.sparkSession
+    folder = shared_folder(spark)
+    done: list[int] = []
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch-{number}")
+        done.append(number)
+
+    stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    batches = done[-1:] if mode == "complete" else sorted(set(done))
+    if not batches:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*(f"{folder}/rows/batch-{k}" for k in batches))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from kiln.functions import columns, encoders, metrics
 from kiln.operators import contract, evaluate, joins, profile, select
-from kiln.operators.ordered import running_before
+from kiln.operators.features import FeatureSpec, compile_features
+from kiln.operators.ordered import range_of, running_before
 from kiln.plans import pipeline
 from kiln.sources.csv import read_csv
 from kiln.streaming import events as ev
@@ -38,10 +39,32 @@ def test_auc(spark):
 
 def test_running_before(spark):
     df = spark.createDataFrame([(x, x % 7) for x in random.Random(1).sample(range(1000), 300)], "x long, v long")
-    got = {r.x: r.v_before for r in running_before(df, "x", ["v"], 8).collect()}
+    got = {r.x: r.v_before for r in running_before(df, "x", ["v"], rows=40).collect()}
     assert got == {x: sum(y % 7 for y in got if y < x) for x in got}
 
 
+def test_groups_are_ordered_in_ranges(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(rng.choice(["a", "b", None]), x, x % 5) for x in range(600)], "g string, x long, v long")
+    rows = [tuple(r) for r in df.collect()]
+    got = {r.x: r.v_before for r in running_before(df, "x", ["v"], ["g"], rows=20).collect()}
+    assert got == {x: sum(w for h, y, w in rows if h == g and y < x) for g, x, v in rows}
+    ranges = range_of(df, "x", ["g"], rows=20).groupBy("g", "__range").count().collect()
+    assert len(ranges) > 20 and max(r["count"] for r in ranges) < 60
+    labelled = df.withColumn("y", (df.v > 2).cast("int"))
+    for plan in (metrics.stratified_folds(labelled, "x", "y", 5), metrics.auc_by(labelled, "x", "y", ["g"]), select.feature_scores(labelled, ["x"], "y")):
+        windows = [x for x in plan._jdf.queryExecution().optimizedPlan().toString().split("\n") if "windowspecdefinition" in x]
+        assert windows and all("__range" in x or "__first" in x for x in windows)  # no window over a whole class, group or feature
+
+
+def test_lookups_of_a_table_are_one_join(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "id long")
+    side = spark.createDataFrame([(1, 3.0, 4.0), (3, 5.0, 6.0)], "id long, a double, b double")
+    made = compile_features(ids, "id", {"s": side}, [FeatureSpec(f"s_{c}", "lookup", "s", "id", c) for c in "ab"])
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert sorted(made.collect()) == [(1, 3.0, 4.0), (2, None, None)]
+
+
 def test_folds(spark):
     rng = random.Random(3)
     y = [int(rng.random() < 0.2) for _ in range(103)]
@@ -132,7 +155,7 @@ def test_selection(spark):
 def test_streams(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
     stream = ev.event_stream(spark, folder)
-    out = ev.run_once(ev.sessions(stream), "sessions_test", str(tmp_path / "c"), "append")
+    out = ev.run_once(ev.sessions(stream), "append")
     assert out.count() > 0 and out.where("end <= start").count() == 0
 
 
