@@ -2,17 +2,19 @@
 
 The nodes of a document's field are its words that hold a digit or an at sign. Neighbouring nodes share a chain
 potential. Nodes with the same key (same digits, seven at least, or same lower-case letters and digits) share a skip
-potential with the occurrence before, however far apart. Sum-product messages pass over this loopy graph, damped, for a fixed number of
-rounds; nodes inside base spans are held at their kind. A free node whose belief in one kind reaches
+potential with one of them, however far apart: the first that a base span holds, else the first. So any two mentions are at most two
+steps from each other. Sum-product messages pass over this loopy graph, damped, until none changes by more than ``TOLERANCE`` (``MAX_ROUNDS``
+at most), in blocks of edges, so temporary memory is bounded; nodes inside base spans are held at their kind. A free node whose belief in one kind reaches
 ``SURE`` becomes one more span; base spans always stay. So a number that is plainly a phone number in
 one place is one also where it stands without its plus sign.
 
-Weights are fitted in pieces on at most ``TRAIN_DOCS`` documents (those with such words whose ids hash lowest, at most
-``TRAIN_NODES`` words of each), with the base spans as labels: a multinomial regression on the shape of a word, and smoothed log ratios
-of label pairs on chain and skip edges. Tagging covers every document, whole.
+Weights are fitted in pieces on at most ``TRAIN_DOCS`` documents (those with such words whose ids hash lowest; of equal rows one), with
+the base spans as labels: a multinomial regression on the shape of a word (at most ``TRAIN_NODES`` words of a document, drawn by a hash
+of their place), and smoothed log ratios of label pairs on all their chain and skip edges. Tagging covers every document, whole.
 
 Defined results: null text counts as empty and has no spans; equal texts have equal spans; documents with null or repeated ids
-are rows like others; without any document to fit on only base spans are found; an empty table gives no rows.
+are rows like others; without any document to fit on only base spans are found; an empty table gives no rows; ``mask`` keeps further
+columns under any names, ``find`` those that it is asked to keep.
 """
 
 from __future__ import annotations
@@ -27,14 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import add_columns, beside
-from .common import table
+from .common import mix64, table
 from .spans import span_text
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 2000
 TRAIN_NODES = 200
 SURE = 0.9
-ROUNDS = 8
+MAX_ROUNDS, TOLERANCE = 60, 1e-3
+#: Nodes, and edges, whose shapes and messages are made at once.
+BLOCK = 1 << 14
 #: Pseudo-counts, spread as independent labels are; prior weight of the claim that two ends of a skip edge bear one label.
 SMOOTH, ALIKE = 10.0, 0.9
 #: Letters and digits from which on equal words are taken as mentions of one thing.
@@ -91,7 +95,7 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     start: int
     end: int
@@ -151,17 +155,14 @@ def labels(found: list[Node], spans: list[Span]) -> np.ndarray:
     return out
 
 
-def edges(found: list[Node]) -> tuple[np.ndarray, np.ndarray]:
-    """Chain edges between near neighbours, and skip edges to the last node of the same key: each a row of two."""
+def edges(found: list[Node], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chain edges between near neighbours, and skip edges from a key's anchor to its other nodes: each a row of two."""
     chain = [(i - 1, i) for i in range(1, len(found)) if found[i].word - found[i - 1].word <= 2]
-    last: dict[str, int] = {}
-    skip = []
+    anchor: dict[str, int] = {}
     for i, n in enumerate(found):
-        if len(n.key) < LEAST_KEY:
-            continue
-        if n.key in last:
-            skip.append((last[n.key], i))
-        last[n.key] = i
+        if len(n.key) >= LEAST_KEY and (n.key not in anchor or (known[i] and not known[anchor[n.key]])):
+            anchor[n.key] = i
+    skip = [(anchor[n.key], i) for i, n in enumerate(found) if anchor.get(n.key, i) != i]
     return np.array(chain, np.int64).reshape(-1, 2), np.array(skip, np.int64).reshape(-1, 2)
 
 
@@ -173,28 +174,38 @@ class Field:
 
     def beliefs(self, found: list[Node], known: np.ndarray) -> np.ndarray:
         """Marginals of every node by loopy message passing."""
-        unary = np.stack([shape(n) for n in found]) @ self.weights
+        unary = np.concatenate([np.stack([shape(n) for n in found[k : k + BLOCK]]) @ self.weights for k in range(0, len(found), BLOCK)])
         held = known > 0
         unary[held] = -30.0
         unary[held, known[held]] = 0.0
-        chain, skip = edges(found)
-        pairs = np.concatenate([chain, skip, chain[:, ::-1], skip[:, ::-1]])
-        if not len(pairs):
+        chain, skip = edges(found, known)
+        n = len(chain) + len(skip)
+        if not n:
             return _softmax(unary)
-        tables = np.concatenate([np.repeat(t[None], len(p), 0) for t, p in ((self.chain, chain), (self.skip, skip), (self.chain.T, chain), (self.skip.T, skip))])
-        back = np.roll(np.arange(len(pairs)), len(pairs) // 2)
-        message = np.zeros((len(pairs), unary.shape[1]))
-        for _ in range(ROUNDS):
-            total = unary.copy()
-            np.add.at(total, pairs[:, 1], message)
-            out = (total[pairs[:, 0]] - message[back])[:, :, None] + tables
-            top = out.max(1, keepdims=True)
-            new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
-            new -= new.max(1, keepdims=True)
-            message = 0.5 * message + 0.5 * new
-        total = unary.copy()
-        np.add.at(total, pairs[:, 1], message)
-        return _softmax(total)
+        ends = np.concatenate([chain, skip])
+        start, end = np.concatenate([ends[:, 0], ends[:, 1]]), np.concatenate([ends[:, 1], ends[:, 0]])
+        kind = np.repeat(np.arange(4, dtype=np.int8), [len(chain), len(skip)] * 2)
+        tables = np.stack([self.chain, self.skip, self.chain.T, self.skip.T])
+        message = np.zeros((2 * n, unary.shape[1]))
+        for _ in range(MAX_ROUNDS):
+            total, last, change = self._total(unary, end, message), message, 0.0
+            message = np.empty_like(last)
+            for k in range(0, 2 * n, BLOCK):
+                some = slice(k, k + BLOCK)
+                back = (np.arange(k, min(k + BLOCK, 2 * n)) + n) % (2 * n)
+                out = (total[start[some]] - last[back])[:, :, None] + tables[kind[some]]
+                top = out.max(1, keepdims=True)
+                new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
+                new -= new.max(1, keepdims=True)
+                message[some] = 0.5 * last[some] + 0.5 * new
+                change = max(change, float(np.abs(message[some] - last[some]).max()))
+            if change < TOLERANCE:
+                break
+        return _softmax(self._total(unary, end, message))
+
+    @staticmethod
+    def _total(unary: np.ndarray, end: np.ndarray, message: np.ndarray) -> np.ndarray:
+        return unary + np.stack([np.bincount(end, m, len(unary)) for m in message.T], 1)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -242,19 +253,23 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Field |
     # TRAIN_DOCS rows of two numbers are broadcast.
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("hash"))
     rows = rows.join(F.broadcast(chosen.distinct()), F.col("id").eqNullSafe(F.col("s_id")) & (F.col("hash") == F.col("s_hash")), "left_semi")
+    rows = rows.groupBy("id", "hash").agg(F.first("text").alias("text"))  # a chosen pair may be on any number of rows
     k = len(KINDS) + 1
 
     def measure():
         def work(texts: list[str]) -> list[pa.Array]:
-            found = [nodes(t)[:TRAIN_NODES] for t in texts]
-            known = [labels(n, base_spans(t)) for n, t in zip(found, texts, strict=True)]
-            pairs = []
-            for n, y in zip(found, known, strict=True):
+            xs, ys, pairs = [], [], []
+            for t in texts:
+                found = nodes(t)
+                known = labels(found, base_spans(t))
                 counts = np.zeros((2, k, k))
-                for table_, e in zip(counts, edges(n), strict=True):
-                    np.add.at(table_, (y[e[:, 0]], y[e[:, 1]]), 1)
-                pairs.append(counts.ravel())
-            return [pa.array([[float(v) for one in n for v in shape(one)] for n in found], pa.list_(pa.float64())), pa.array([y.tolist() for y in known], pa.list_(pa.int64())), pa.array([p.tolist() for p in pairs], pa.list_(pa.float64()))]
+                for table_, e in zip(counts, edges(found, known), strict=True):
+                    np.add.at(table_, (known[e[:, 0]], known[e[:, 1]]), 1)
+                drawn = np.argsort(mix64(np.arange(1, len(found) + 1, dtype=np.uint64)))[:TRAIN_NODES]
+                xs.append([float(v) for i in drawn for v in shape(found[i])])
+                ys.append(known[drawn].tolist())
+                pairs.append(counts.ravel().tolist())
+            return [pa.array(xs, pa.list_(pa.float64())), pa.array(ys, pa.list_(pa.int64())), pa.array(pairs, pa.list_(pa.float64()))]
 
         return work
 

@@ -1,9 +1,13 @@
 """Base spans against the plain patterns, and what the field adds."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
+import tracemalloc
+
+import numpy as np
 
 from kiln.llm import pii
 
@@ -72,3 +76,61 @@ def test_query_and_edges(spark, tmp_path):
         assert r.n_email == sum(k == 0 for _, k, _ in spans)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pii.fit(empty) is None and pii.find(empty, None, ["doc_id"]).count() == 0
+
+
+def some_field(rng):
+    made = [corpus(rng)[0] for _ in range(60)]
+    x, y, pairs = [], [], np.zeros((2, 5, 5))
+    for t in made:
+        found = pii.nodes(t)
+        known = pii.labels(found, pii.base_spans(t))
+        x += [pii.shape(n) for n in found]
+        y += known.tolist()
+        for table, e in zip(pairs, pii.edges(found, known), strict=True):
+            np.add.at(table, (known[e[:, 0]], known[e[:, 1]]), 1)
+    return pii.fit_field(np.array(x), np.array(y), *pairs)
+
+
+def test_beliefs_are_exact_without_loops():
+    field = some_field(random.Random(2))
+    found = pii.nodes("call 5551234567 then 17 and x1 x2 far " + "away " * 30 + "5551234567 or 40")
+    known = np.zeros(len(found), np.int64)
+    chain, skip = pii.edges(found, known)
+    assert len(skip) == 1 and len(chain) + len(skip) < len(found)  # a tree
+    unary = np.stack([pii.shape(n) for n in found]) @ field.weights
+    want = np.zeros((len(found), 5))
+    for one in itertools.product(range(5), repeat=len(found)):
+        one = np.array(one)
+        e = sum(unary[i, v] for i, v in enumerate(one)) + field.chain[one[chain[:, 0]], one[chain[:, 1]]].sum() + field.skip[one[skip[:, 0]], one[skip[:, 1]]].sum()
+        want[np.arange(len(found)), one] += np.exp(e)
+    want /= want.sum(1, keepdims=True)
+    assert np.abs(field.beliefs(found, known) - want).max() < 5e-3
+
+
+def test_every_mention_of_a_number_is_found():
+    field = some_field(random.Random(2))
+    bare = " and then ".join(["room 12 is free, ask 5557654321"] * 30)
+    base, both = pii.tag(f"{bare}. Write to +15557654321 or +1 555 765 4321 or 15557654321.", field)
+    assert sum(1 for s in both if s not in base) >= 1
+    text = "first +15557654321 " + "then 15557654321 for a while " * 25
+    base, both = pii.tag(text, field)
+    assert len(base) == 1 and len(both) == 26
+
+
+def test_long_text_with_a_field_is_bounded():
+    field = some_field(random.Random(2))
+    text = " ".join(f"w{i % 5000}x a" for i in range(100_000))
+    tracemalloc.start()
+    began = time.time()
+    pii.tag(text, field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert time.time() - began < 60 and peak < 150 << 20
+
+
+def test_fit_takes_equal_rows_once(spark, monkeypatch):
+    rows = spark.createDataFrame([(None, "call +15551234567 now")] * 500 + [(i, f"no {i} here") for i in range(20)], "doc_id long, text string")
+    sizes = []
+    monkeypatch.setattr(pii, "fit_field", lambda x, y, chain, skip: sizes.append(len(y)))
+    pii.fit(rows)
+    assert sizes == [21]
