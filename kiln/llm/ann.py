@@ -141,12 +141,13 @@ def search(vectors: DataFrame, asks: DataFrame, k: int = 5, recall: float = RECA
                     some = part.iloc[a : a + 1024]
                     sim = _units(_matrix(some["embedding"])) @ c.T
                     near = np.argsort(-sim, 1, kind="stable")[:, :many]
-                    yield pd.DataFrame({"vec_id": np.repeat(some["vec_id"].to_numpy(), near.shape[1]), "embedding": [e for e in some["embedding"] for _ in range(near.shape[1])], "list": near.ravel()})
+                    wide = near.shape[1]
+                    yield pd.DataFrame({"vec_id": np.repeat(some["vec_id"].to_numpy(), wide), "embedding": [e for e in some["embedding"] for _ in range(wide)], "list": near.ravel(), "place": np.tile(np.arange(wide), len(some))})
 
         return run
 
-    indexed = stored(vectors.mapInPandas(nearest(1), "vec_id long, embedding array<double>, list int"), "indexed", folder)
-    asked = stored(asks.mapInPandas(nearest(n_probes), "vec_id long, embedding array<double>, list int"), "asked", folder)
+    indexed = stored(vectors.mapInPandas(nearest(1), "vec_id long, embedding array<double>, list int, place int").drop("place"), "indexed", folder)
+    asked = stored(asks.mapInPandas(nearest(n_probes), "vec_id long, embedding array<double>, list int, place int"), "asked", folder)
     # A row per list: how many blocks and groups of queries it needs.
     sizes = indexed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     groups = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("groups"))
@@ -155,7 +156,6 @@ def search(vectors: DataFrame, asks: DataFrame, k: int = 5, recall: float = RECA
     deal = lambda count: F.pmod(F.xxhash64("vec_id"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     left = indexed.join(small, "list").select("list", deal("blocks").alias("block"), every("groups").alias("part"), "vec_id", "embedding")
-    right = asked.join(small, "list").select("list", every("blocks").alias("block"), deal("groups").alias("part"), "vec_id", "embedding")
     turn = spark.sparkContext.broadcast(rotation(d))
 
     def probe(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -166,16 +166,26 @@ def search(vectors: DataFrame, asks: DataFrame, k: int = 5, recall: float = RECA
             ids = block["vec_id"].to_numpy()
             columns = np.ascontiguousarray((_units(x) @ turn.value).T)
             rotated = _units(q) @ turn.value
-            for i, query in enumerate(queries["vec_id"].to_numpy()):
-                found, score = scan(ids, x, query, q[i], columns, rotated[i], k, np.inf)
+            for i, (query, bound) in enumerate(zip(queries["vec_id"].to_numpy(), queries["bound"].to_numpy(), strict=True)):
+                found, score = scan(ids, x, query, q[i], columns, rotated[i], k, bound)
                 out.append(pd.DataFrame({"query_id": np.full(len(found), query), "vec_id": found, "score": score}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
     keys = ["list", "block", "part"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(probe, "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def nearest_in(some: DataFrame) -> DataFrame:
+        """The k best of each query in the lists that ``some`` (with a ``bound`` for its squared distances) asks."""
+        right = some.join(small, "list").select("list", every("blocks").alias("block"), deal("groups").alias("part"), "vec_id", "embedding", "bound")
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(probe, "query_id long, vec_id long, score double")
+        return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    # The nearest list gives each query's k-th distance so far, beyond which the other lists' candidates are given up.
+    first = stored(nearest_in(asked.where("place = 0").withColumn("bound", F.lit(float("inf")))), "first", folder)
+    bounds = first.groupBy(F.col("query_id").alias("b_id")).agg(F.when(F.count(F.lit(1)) == k, 2 - 2 * F.min("score")).otherwise(float("inf")).alias("bound"))
+    others = asked.where("place > 0").join(bounds, F.col("vec_id") == F.col("b_id"), "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    both = first.drop("rank").union(nearest_in(others).drop("rank"))
+    return both.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

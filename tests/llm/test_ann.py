@@ -60,3 +60,12 @@ def test_odd_rows(spark):
     assert got == {(0, 1): (50, 1.0), (0, 2): (1, half), (50, 1): (0, 1.0), (50, 2): (1, half)}
     e = ann.usable(df.limit(0))
     assert ann.search(e, e).count() == 0
+
+
+def test_recall_beyond_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 1000)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 24))
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(ann.usable(df), ann.usable(df).where("vec_id % 50 = 0")).collect()
+    assert recall(got, brute(np.arange(6000), x)) >= 0.9 and len(got) == 5 * 120
