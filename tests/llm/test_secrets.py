@@ -2,6 +2,9 @@
 
 import hashlib
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from kiln.llm import secrets
 from kiln.llm.spans import span_text
@@ -61,3 +64,14 @@ def test_repositories_decide(spark):
     df = spark.createDataFrame([(i, f"case{i} {value}", "a", f"r{i}") for i in range(secrets.LIVE_REPOS + 1)], "doc_id long, text string, source string, repo string")
     assert all(r.n_example == 1 and not r.secret_spans for r in secrets.scan(df, repository="repo").collect())
     assert all(r.n_live == 1 for r in secrets.scan(df.limit(secrets.LIVE_REPOS), repository="repo").collect())
+
+
+def test_many_spans_in_one_text(spark):
+    from kiln.llm.spans import CHUNK, regex_spans
+
+    for n in (0, 1, CHUNK - 1, CHUNK, CHUNK + 1, 20_000):
+        text = "é " + " ".join(f"k{i}=" for i in range(n))
+        began = time.time()
+        got = spark.createDataFrame([(text,)], "t string").select(regex_spans(F.col("t"), "k[0-9]+=", 0, "assign").alias("s")).first().s
+        assert [(r.start, r.end, r.value) for r in got] == [(m.start(), m.end(), m[0]) for m in re.finditer("k[0-9]+=", text)]
+        assert time.time() - began < 15
