@@ -37,8 +37,8 @@ from .components import components
 
 #: Cost of one entry of an inverted list (its checks included) in enumerated subsets.
 LIST_COST = 16
-#: Counters for the rarity order: about 16 a document, within these powers of two.
-SKETCH_BITS = (14, 22)
+#: Counters for the rarity order: about 16 a document, within these powers of two (64 MB at the most).
+SKETCH_BITS = (14, 24)
 #: So many document ids are broadcast, at most (8 MB); more are joined by a shuffle.
 MAX_BROADCAST_IDS = 1_000_000
 #: The same for shingles that several sets begin with (16 MB).
@@ -177,7 +177,7 @@ def _measure(docs: DataFrame, k: int, num: int, den: int, bound: int, bits: int)
 
 
 def _rarity(facts: DataFrame, bits: int) -> np.ndarray:
-    """The summed counters, capped: 2**bits numbers of two bytes, whatever the size of the corpus."""
+    """The summed counters: 2**bits numbers of four bytes, whatever the size of the corpus."""
     width = 1 << min(bits, 14)
     parts = max(1, min(16, 1 << bits >> 14))
 
@@ -186,11 +186,11 @@ def _rarity(facts: DataFrame, bits: int) -> np.ndarray:
         for batch in batches:
             for i, c in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 sums[i] = sums.get(i, np.zeros(width, np.int64)) + np.frombuffer(c, np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.minimum(s, 65535).astype(np.uint16).tobytes() for s in sums.values()], pa.binary())], names=["slice", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes() for s in sums.values()], pa.binary())], names=["slice", "counts"])
 
-    out = np.zeros((1 << bits) // width * width, np.uint16).reshape(-1, width)
+    out = np.zeros((1 << bits) // width * width, np.uint32).reshape(-1, width)
     for r in facts.where(F.col("slice").isNotNull()).select("slice", "counts").repartition(parts, "slice").mapInArrow(add, "slice int, counts binary").toLocalIterator():
-        out[r.slice] = np.frombuffer(r.counts, np.uint16)
+        out[r.slice] = np.frombuffer(r.counts, np.uint32)
     return out.ravel()
 
 
