@@ -55,14 +55,16 @@ def predict(model, rows: DataFrame) -> DataFrame:
 
 
 def cv_scores(df: DataFrame, row_id: str, features: list[str], target: str, k: int = 5, params: BoostParams = BoostParams()) -> DataFrame:
-    """fold, auc over stratified folds. One fit per fold; each fit is a Spark job over all its rows."""
+    """fold, auc over stratified folds. One fit per fold; each fit is a Spark job over all its rows, and only its AUC comes back."""
     data = stratified_folds(fill_missing(df, features).withColumn(target, F.col(target).cast("double")), row_id, target, k).cache()
-    out = None
-    for f in range(k):
-        model = fit_boosted(data.where(F.col("fold") != f), features, target, params)
-        one = auc(predict(model, data.where(F.col("fold") == f)), "p", target).select(F.lit(f).cast("long").alias("fold"), "auc")
-        out = one if out is None else out.unionByName(one)
-    return out
+    found = []
+    try:
+        for f in range(k):
+            model = fit_boosted(data.where(F.col("fold") != f), features, target, params)
+            found.append((f, auc(predict(model, data.where(F.col("fold") == f)), "p", target).first()["auc"]))
+    finally:
+        data.unpersist()
+    return df.sparkSession.createDataFrame(found, "fold long, auc double")
 
 
 def score(train: DataFrame, test: DataFrame, labels: DataFrame, id_col: str, target: str, metric: str = "roc_auc", params: BoostParams = BoostParams()) -> Score:

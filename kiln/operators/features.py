@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,8 +24,32 @@ class FeatureSpec:
     where: str = "true"
 
 
-def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = ()) -> list[FeatureSpec]:
-    """The aggregate family for a history table: count, and by type sums, means, spread, ends, distinct values; days since 1970 for dates, shares for booleans."""
+#: Lengths in days of the windows that end with the last day of a table.
+WINDOWS = (30, 90)
+
+
+def is_value(c: str, value: str) -> str:
+    """SQL for 1 where the text column holds the value, 0 elsewhere, null for null."""
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"cast(`{c}` = '{quoted}' as int)"
+
+
+def value_names(prefix: str, values: list[str]) -> dict[str, str]:
+    """value -> a feature name of its own."""
+    out: dict[str, str] = {}
+    for i, v in enumerate(values):
+        name = f"{prefix}_{re.sub(r'[^0-9A-Za-z]+', '_', v)}"
+        out[v] = f"{name}_{i}" if name in out.values() else name
+    return out
+
+
+def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = (), values: Mapping[str, list[str]] = {}, last: Mapping[str, object] = {}) -> list[FeatureSpec]:
+    """The aggregate family for a history table: count, and by type sums, means, spread, ends, distinct values; days since 1970 for dates, shares for booleans.
+
+    ``values`` (``profile.common_values``) adds the share of each value of a text column, ``last`` (``profile.last_days``) counts, sums and shares
+    of the windows that end with a column's last day. All stay in one aggregate; distinct values are estimates, which need no row per column.
+    """
+    numbers = [c for c, kind in df.dtypes if c != key and c not in skip and (kind in ("double", "float") or kind.startswith("decimal"))]
     out = [FeatureSpec(f"{name}_count", "agg", name, key, "count(1)")]
     for c, kind in df.dtypes:
         if c == key or c in skip:
@@ -37,7 +63,31 @@ def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = ()) -> l
         elif kind in ("int", "bigint"):
             out += [FeatureSpec(f"{name}_{f}_{c}", "agg", name, key, f"{f}(cast(`{c}` as double))") for f in ("sum", "avg", "min", "max", "stddev_pop")]
         if kind in ("string", "int", "bigint", "date"):
-            out.append(FeatureSpec(f"{name}_distinct_{c}", "agg", name, key, f"count(distinct `{c}`)"))
+            out.append(FeatureSpec(f"{name}_distinct_{c}", "agg", name, key, f"approx_count_distinct(`{c}`)"))
+        out += [FeatureSpec(n, "agg", name, key, f"avg({is_value(c, v)})") for v, n in value_names(f"{name}_share_{c}", values.get(c, [])).items()]
+        if c in last:
+            for days in WINDOWS:
+                within = f"cast(`{c}` as date) > date_sub(date'{last[c]}', {days})"
+                out.append(FeatureSpec(f"{name}_count_{days}d_{c}", "agg", name, key, f"count_if({within})"))
+                out.append(FeatureSpec(f"{name}_share_{days}d_{c}", "agg", name, key, f"count_if({within}) / count(1)"))
+                out += [FeatureSpec(f"{name}_sum_{x}_{days}d_{c}", "agg", name, key, f"coalesce(sum(`{x}`) filter (where {within}), 0)") for x in numbers]
+    return out
+
+
+def column_specs(name: str, family: str, df: DataFrame, key: str, skip: tuple[str, ...] = (), values: Mapping[str, list[str]] = {}) -> list[FeatureSpec]:
+    """Columns of a lookup, or of the ids themselves: numbers as they are, booleans as 0 and 1, dates as days since 1970, text as one 0/1 column per common value."""
+    out = []
+    for c, kind in df.dtypes:
+        if c == key or c in skip:
+            continue
+        if kind in ("int", "bigint", "double", "float") or kind.startswith("decimal"):
+            out.append(FeatureSpec(f"{name}_{c}", family, name, key, f"`{c}`"))
+        elif kind == "boolean":
+            out.append(FeatureSpec(f"{name}_{c}", family, name, key, f"cast(`{c}` as int)"))
+        elif kind == "date" or kind.startswith("timestamp"):
+            out.append(FeatureSpec(f"{name}_{c}", family, name, key, f"unix_date(cast(`{c}` as date))"))
+        else:
+            out += [FeatureSpec(n, family, name, key, is_value(c, v)) for v, n in value_names(f"{name}_{c}", values.get(c, [])).items()]
     return out
 
 

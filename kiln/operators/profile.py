@@ -36,10 +36,27 @@ def fan_out(child: DataFrame, key: str) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("n_keys"), F.avg("n").alias("mean_rows"), F.max("n").alias("max_rows"))
 
 
-def join_graph(tables: dict[str, DataFrame], least_share: float = 1.0) -> list[tuple[str, str, str, str]]:
+def common_values(df: DataFrame, most: int = 12) -> dict[str, list[str]]:
+    """The values of each text column that has at most about ``most`` of them, in order. Sizes come first, so no long list is gathered."""
+    text = [c for c, kind in df.dtypes if kind == "string"]
+    if not text:
+        return {}
+    sizes = df.agg(*(F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in text)).first()
+    short = [c for c in text if 1 < sizes[c] <= most]
+    return df.agg(*(F.sort_array(F.collect_set(F.col(f"`{c}`"))).alias(c) for c in short)).first().asDict() if short else {}
+
+
+def last_days(df: DataFrame) -> dict[str, object]:
+    """The last day in each date or timestamp column that has one."""
+    days = [c for c, kind in df.dtypes if kind == "date" or kind.startswith("timestamp")]
+    return {c: d for c, d in df.agg(*(F.max(F.col(f"`{c}`").cast("date")).alias(c) for c in days)).first().asDict().items() if d} if days else {}
+
+
+def join_graph(tables: dict[str, DataFrame], least_share: float = 1.0, hints: set[tuple[str, str, str, str]] = frozenset()) -> list[tuple[str, str, str, str]]:
     """(child, child column, parent, parent key) for columns of one type whose values a parent's single-column key holds.
 
     Names must share their end after the first underscore (``o_custkey``, ``c_custkey``) or be equal, since dense integers include one another by chance.
+    ``hints`` are such tuples that a description names; their names may differ, their values are checked all the same.
     """
     tail = lambda c: c.partition("_")[2] or c
     keys = {}
@@ -47,10 +64,12 @@ def join_graph(tables: dict[str, DataFrame], least_share: float = 1.0) -> list[t
         for c, kind in df.dtypes:
             if kind in ("int", "bigint", "string") and key_check(df, [c]).first().is_key:
                 keys.setdefault((tail(c), kind in ("int", "bigint")), []).append((name, c))
+    every = {x for some in keys.values() for x in some}
     found = []
     for name, df in tables.items():
         for c, kind in df.dtypes:
-            for parent, k in keys.get((tail(c), kind in ("int", "bigint")), []):
+            said = [(p, k) for t, x, p, k in sorted(hints) if (t, x) == (name, c) and (p, k) in every]
+            for parent, k in dict.fromkeys([*keys.get((tail(c), kind in ("int", "bigint")), []), *said]):
                 if parent != name:
                     r = inclusion(df, c, tables[parent], k).first()
                     if r.n_rows and 1 - r.n_orphans / r.n_rows >= least_share:

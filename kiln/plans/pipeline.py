@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import noise
 from ..operators.contract import violations
-from ..operators.features import FeatureSpec, compile_features, grammar
+from ..operators.evaluate import BoostParams, cv_scores
+from ..operators.features import FeatureSpec, column_specs, compile_features, grammar
 from ..operators.joins import lookup_left
-from ..operators.profile import join_graph, key_check
-from ..operators.select import choose
-from ..sources.catalog import TableCatalog
+from ..operators.profile import common_values, join_graph, key_check, last_days
+from ..operators.select import SHORTLIST, choose, forward, ranked
+from ..sources.catalog import TableCatalog, descriptions, join_hints
 from ..sources.csv import write_csv
 
 
@@ -24,7 +29,37 @@ class TaskSpec:
     target_col: str
     metric: str = "roc_auc"
     max_features: int = 5
+    #: Seconds of the whole run; the search gets ``search_share`` of them, the rest is for writing.
     budget_s: float = 600.0
+    search_share: float = 0.8
+    #: The booster that compares whole sets.
+    judge: BoostParams = BoostParams(rounds=5, depth=4)
+
+
+@contextmanager
+def within(spark: SparkSession, seconds: float) -> Iterator[None]:
+    """Cancels the block's Spark jobs when its seconds are over; what they raise then becomes a ``TimeoutError``."""
+    if seconds <= 0:
+        raise TimeoutError("no time left")
+    tag, over = f"kiln-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        over.set()
+        spark.sparkContext.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    timer.daemon = True
+    spark.sparkContext.addJobTag(tag)
+    timer.start()
+    try:
+        yield
+    except Exception as e:
+        if over.is_set():
+            raise TimeoutError(f"stopped after {seconds:.0f} s") from e
+        raise
+    finally:
+        timer.cancel()
+        spark.sparkContext.removeJobTag(tag)
 
 
 def history_tables(catalog: TableCatalog, id_col: str) -> dict[str, DataFrame]:
@@ -37,8 +72,10 @@ def history_tables(catalog: TableCatalog, id_col: str) -> dict[str, DataFrame]:
     if len(found) == len(sides):
         return found
     ids = catalog["train"].select(id_col).union(catalog["test"].select(id_col)).distinct()
+    columns = {n: df.columns for n, df in sides.items()} | {"train": [id_col], "test": [id_col]}
+    said = {("__ids" if a in ("train", "test") else a, b, "__ids" if c in ("train", "test") else c, k) for a, b, c, k in join_hints(descriptions(catalog.readme(), list(columns)), columns)}
     # Ends like "id" say nothing of what is meant, so such columns must have equal names.
-    links = [x for x in join_graph({**sides, "__ids": ids}) if x[1] == x[3] or x[1].partition("_")[2].lower() not in ("id", "key", "no", "code")]
+    links = [x for x in join_graph({**sides, "__ids": ids}, hints=said) if x in said or x[1] == x[3] or x[1].partition("_")[2].lower() not in ("id", "key", "no", "code")]
     near = {"__ids": ids, **found}
     while near:
         new: dict[str, DataFrame] = {}
@@ -54,23 +91,24 @@ def history_tables(catalog: TableCatalog, id_col: str) -> dict[str, DataFrame]:
 
 
 def candidate_specs(tables: dict[str, DataFrame], id_col: str, target: str) -> list[FeatureSpec]:
+    """Lookups of tables with one row an id, the grammar's aggregates of the others."""
     specs: list[FeatureSpec] = []
     for name, df in tables.items():
+        values = common_values(df.drop(id_col, target))
         if key_check(df, [id_col]).first().is_key:
-            for c, kind in df.dtypes:
-                if c in (id_col, target):
-                    continue
-                if kind in ("int", "bigint", "double", "float") or kind.startswith("decimal"):
-                    specs.append(FeatureSpec(f"{name}_{c}", "lookup", name, id_col, f"`{c}`"))
-                elif kind == "boolean":
-                    specs.append(FeatureSpec(f"{name}_{c}", "lookup", name, id_col, f"cast(`{c}` as int)"))
-                elif kind == "date" or kind.startswith("timestamp"):
-                    specs.append(FeatureSpec(f"{name}_{c}", "lookup", name, id_col, f"unix_date(cast(`{c}` as date))"))
+            specs += column_specs(name, "lookup", df, id_col, (target,), values)
         else:
-            specs += grammar(name, df, id_col, (target,))
+            specs += grammar(name, df, id_col, (target,), values, last_days(df.drop(id_col, target)))
     return specs
 
 
+def own_specs(train: DataFrame, test: DataFrame, id_col: str, target: str) -> list[FeatureSpec]:
+    """The columns that train and test share besides the id."""
+    shared = [c for c, kind in train.dtypes if c not in (id_col, target) and (c, kind) in test.dtypes]
+    both = train.select(*shared).union(test.select(*shared))
+    return column_specs("own", "own", both, id_col, (target,), common_values(both)) if shared else []
+
+
 def ensure_target(train: DataFrame, source: DataFrame, spec: TaskSpec) -> DataFrame:
     """``train`` with its target, looked up by id where it lacks it."""
     if spec.target_col in train.columns:
@@ -83,25 +121,52 @@ def noise_features(ids: DataFrame, id_col: str, n: int = 5, seed: int = 42) -> D
     return ids.withColumns({f"ft_{i + 1}": noise(F.col(id_col), seed + i) for i in range(n)})
 
 
+def search(made: DataFrame, names: list[str], spec: TaskSpec, target: str, until: float) -> list[str]:
+    """The best set found until then: single choice first, then forward selection on the shortlist, then the booster between the two.
+
+    Each step is cut when its time is over, and the last set that was finished stands; without any, ``TimeoutError``.
+    """
+    spark = made.sparkSession
+    left = lambda: until - time.perf_counter()
+    with within(spark, left()):
+        single = choose(made, names, target, spec.max_features)
+    if not single:
+        raise ValueError("no candidate feature varies")
+    best = single
+    try:
+        with within(spark, left()):
+            short = ranked(made, names, target)[:SHORTLIST]
+            grown = forward(made, short, target, spec.id_col, spec.max_features, late=lambda: left() <= 0)
+        if grown and set(grown) != set(single):
+            with within(spark, left()):
+                sets = {"grown": grown, "single": single}
+                mean = {k: cv_scores(made.select(spec.id_col, target, *some), spec.id_col, some, target, params=spec.judge).agg(F.avg("auc")).first()[0] or 0.0 for k, some in sets.items()}
+            best = grown if mean["grown"] >= mean["single"] else single
+    except TimeoutError:
+        pass
+    return best
+
+
 def run(spark: SparkSession, data_dir: str, out_dir: str, spec: TaskSpec) -> list[str]:
     """Read the folder, choose at most ``max_features`` features on train, write ``train.csv`` and ``test.csv``; the chosen names."""
-    began = time.perf_counter()
-    catalog = TableCatalog(spark, data_dir)
-    train, test = catalog["train"], catalog["test"]
-    values = train.select(spec.target_col).distinct().limit(3).collect()
-    if len(values) != 2:
-        raise ValueError("the target needs exactly two values")
-    tables = history_tables(catalog, spec.id_col)
-    specs = candidate_specs(tables, spec.id_col, spec.target_col)
+    until = time.perf_counter() + spec.budget_s * spec.search_share
+    with within(spark, spec.budget_s * spec.search_share):
+        catalog = TableCatalog(spark, data_dir)
+        train, test = catalog["train"], catalog["test"]
+        values = train.select(spec.target_col).distinct().limit(3).collect()
+        if len(values) != 2:
+            raise ValueError("the target needs exactly two values")
+        tables = history_tables(catalog, spec.id_col)
+        specs = candidate_specs(tables, spec.id_col, spec.target_col) + own_specs(train, test, spec.id_col, spec.target_col)
     if not specs:
         raise ValueError("no table can be joined to the ids")
-    made = compile_features(train.select(spec.id_col, spec.target_col), spec.id_col, tables, specs).cache()
     high = max(v[0] for v in values)
-    chosen = choose(made.withColumn("__y", (F.col(spec.target_col) == F.lit(high)).cast("int")), [s.name for s in specs], "__y", spec.max_features)
-    if not chosen:
-        raise ValueError("no candidate feature varies")
-    if time.perf_counter() - began > spec.budget_s:
-        raise TimeoutError("the search took longer than its budget")
+    labelled = train.withColumn("__y", (F.col(spec.target_col) == F.lit(high)).cast("int"))
+    made = compile_features(labelled, spec.id_col, tables, specs).cache()
+    try:
+        chosen = search(made, [s.name for s in specs], spec, "__y", until)
+    finally:
+        made.unpersist()
     kept = [s for s in specs if s.name in chosen]
     out = {k: compile_features(df, spec.id_col, tables, kept).select(*df.columns, *chosen) for k, df in (("train", train), ("test", test))}
     broken = violations(spark, {"train": train, "test": test}, out, id_col=spec.id_col).collect()
@@ -109,5 +174,4 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, spec: TaskSpec) -> lis
         raise ValueError(f"output contract: {broken}")
     for k, df in out.items():
         write_csv(df, f"{out_dir}/{k}.csv")
-    made.unpersist()
     return chosen

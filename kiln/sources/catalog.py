@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tomllib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ class TableCatalog:
     """Tables of a folder by name, read when asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.paths = spark, table_paths(spark, folder)
+        self.spark, self.folder, self.paths = spark, folder, table_paths(spark, folder)
 
     def __iter__(self):
         return iter(self.paths)
@@ -35,8 +36,49 @@ class TableCatalog:
         if name not in self.paths:
             raise FileNotFoundError(f"no table {name!r}")
         path = self.paths[name]
+        top = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not store.getContentSummary(top).getLength():
+            raise ValueError(f"{path} is empty")
         return self.spark.read.parquet(path) if path.endswith(".parquet") else read_csv(self.spark, path)
 
+    def readme(self) -> str:
+        """The text of ``readme.txt`` in the folder, empty where there is none."""
+        top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/readme.txt")
+        if not top.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(top):
+            return ""
+        return "\n".join(r.value for r in self.spark.read.text(str(top)).collect())  # a page of prose
+
+
+_DESCRIBED = re.compile(r"^[\s#*•-]*`?(\w+)(?:\.(\w+))?`?\s*(?:\([^)]*\))?\s*(?:[:—–-]+\s*(.*))?$")
+
+
+def descriptions(text: str, tables: list[str]) -> list[tuple[str, str | None, str]]:
+    """(table, column, description) from lines ``table``, ``table.csv: text``, ``column: text`` below a table, or ``table.column: text``.
+
+    Bullets, heading marks, back ticks and a note in brackets after the name are skipped; other lines are prose and left out.
+    """
+    found, at = [], None
+    for line in text.split("\n"):
+        m = _DESCRIBED.match(line.strip())
+        if not m:
+            continue
+        name, part, said = m.groups()
+        if name in tables and part in (None, "csv", "parquet"):
+            at = name
+            found.append((name, None, said or ""))
+        elif name in tables:
+            found.append((name, part, said or ""))
+        elif at and not part and said is not None:
+            found.append((at, name, said))
+    return found
+
+
+def join_hints(described: list[tuple[str, str | None, str]], columns: dict[str, list[str]]) -> set[tuple[str, str, str, str]]:
+    """(child, child column, parent, parent column) where a column's description names ``table.column`` of another table."""
+    known = [(t, c, other, k) for t, c, said in described if c in columns.get(t, []) for other, k in re.findall(r"(\w+)\.(\w+)", said)]
+    return {h for h in known if h[0] != h[2] and h[3] in columns.get(h[2], [])}
+
 
 def dependencies(text: str) -> list[str]:
     """The lower-cased dependency list of a project file."""

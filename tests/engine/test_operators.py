@@ -1,15 +1,18 @@
 """Join semantics, exact scores, leakage, the output contract and the whole run."""
 
+import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from kiln.functions import columns, encoders, metrics
-from kiln.operators import contract, evaluate, joins, profile, select
+from kiln.operators import contract, evaluate, features, joins, profile, select
 from kiln.operators.features import FeatureSpec, compile_features
 from kiln.operators.ordered import range_of, running_before
 from kiln.plans import pipeline
+from kiln.sources import catalog
 from kiln.sources.csv import read_csv
 from kiln.streaming import events as ev
 
@@ -132,7 +135,7 @@ def test_whole_run(spark, tmp_path):
     lines = [f"{i}|{rng.gauss(10 + 8 * y[i], 3):.2f}|{rng.choice('abc')}\n" for i in range(400) for _ in range(rng.randrange(1, 4))]
     (data / "visits.csv").write_text("cid|spent|shop\n" + "".join(lines))
     (data / "person.csv").write_text("cid,age\n" + "".join(f"{i},{20 + i % 50}\n" for i in range(400)))
-    spec = pipeline.TaskSpec("cid", "bought")
+    spec = pipeline.TaskSpec("cid", "bought", judge=evaluate.BoostParams(rounds=2, depth=3))
     chosen = pipeline.run(spark, str(data), str(out), spec)
     assert 1 <= len(chosen) <= 5 and chosen[0].startswith("visits_") and "spent" in chosen[0]
     train, test = (read_csv(spark, str(out / f"{k}.csv")) for k in ("train", "test"))
@@ -171,10 +174,78 @@ def test_run_walks_joins(spark, tmp_path):
     assert set(tables) == {"customer", "orders", "lineitem"} and tables["lineitem"].where("c_custkey = 3").count() == 4
     names = {s.name for s in pipeline.candidate_specs(tables, "c_custkey", "y")}
     assert {"lineitem_avg_l_qty", "orders_max_o_date", "orders_avg_o_open", "orders_sum_o_prio", "customer_c_rank"} <= names
-    chosen = pipeline.run(spark, str(data), str(tmp_path / "out"), pipeline.TaskSpec("c_custkey", "y"))
+    chosen = pipeline.run(spark, str(data), str(tmp_path / "out"), pipeline.TaskSpec("c_custkey", "y", judge=evaluate.BoostParams(rounds=2, depth=3)))
     assert chosen and not any(c.startswith("ft_") for c in chosen)
     bare = tmp_path / "bare"
     for name in ("train", "test"):
         spark.read.parquet(str(data / f"{name}.parquet")).write.parquet(str(bare / f"{name}.parquet"))
     with pytest.raises(ValueError, match="joined"):
         pipeline.run(spark, str(bare), str(tmp_path / "out2"), pipeline.TaskSpec("c_custkey", "y"))
+
+
+def test_descriptions_and_hints(spark, tmp_path):
+    text = "The task: predict y.\n\n## train.csv - the sample\n- `cid`: the id\n\nclicks.csv: what people did\n  who (bigint) - the person, see train.cid\n  at: time\nshops.code: key\n"
+    found = catalog.descriptions(text, ["train", "clicks", "shops"])
+    assert found == [("train", None, "the sample"), ("train", "cid", "the id"), ("clicks", None, "what people did"), ("clicks", "who", "the person, see train.cid"), ("clicks", "at", "time"), ("shops", "code", "key")]
+    assert catalog.join_hints(found, {"train": ["cid"], "clicks": ["who", "at"]}) == {("clicks", "who", "train", "cid")}
+    assert catalog.descriptions("", ["a"]) == [] and catalog.join_hints([("a", "b", "see nowhere.k")], {"a": ["b"]}) == set()
+    (tmp_path / "train.csv").write_text("cid;y\n1;0\n2;1\n")
+    (tmp_path / "test.csv").write_text("cid\n3\n")
+    (tmp_path / "clicks.csv").write_text("who;at\n1;5\n3;6\n3;7\n")
+    (tmp_path / "blank.csv").write_text("")
+    tables = catalog.TableCatalog(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="empty"):
+        tables["blank"]
+    (tmp_path / "blank.csv").unlink()
+    assert pipeline.history_tables(catalog.TableCatalog(spark, str(tmp_path)), "cid") == {}
+    (tmp_path / "readme.txt").write_text(text)
+    assert pipeline.history_tables(catalog.TableCatalog(spark, str(tmp_path)), "cid")["clicks"].where("cid = 3").count() == 2
+
+
+def test_grammar_values_and_windows(spark):
+    rows = [(1, "a'b", "2024-01-01", 2.0), (1, "c", "2024-03-30", 3.0), (2, "c", "2024-01-05", 5.0), (2, None, "2024-01-02", None)]
+    df = spark.createDataFrame(rows, "k long, s string, d string, v double").withColumn("d", F.to_date("d"))
+    values, last = profile.common_values(df), profile.last_days(df)
+    assert values == {"s": ["a'b", "c"]} and str(last["d"]) == "2024-03-30"
+    specs = features.grammar("h", df, "k", (), values, last)
+    assert len({s.name for s in specs}) == len(specs)
+    out = {r.k: r for r in features.compile_features(spark.createDataFrame([(1,), (2,), (3,)], "k long"), "k", {"h": df}, specs).collect()}
+    assert out[1].h_share_s_a_b == 0.5 and out[2].h_share_s_c == 1.0 and out[3].h_count is None
+    assert out[1].h_count_30d_d == 1 and out[1].h_sum_v_30d_d == 3.0 and out[2].h_sum_v_90d_d == 5.0 and out[2].h_share_90d_d == 1.0 and out[2].h_share_30d_d == 0
+    assert features.value_names("p", ["a b", "a-b"]) == {"a b": "p_a_b", "a-b": "p_a_b_1"}
+    assert profile.common_values(df.select("k")) == {} and profile.last_days(df.select("k")) == {} and profile.common_values(df.limit(0)) == {}
+
+
+def test_forward_prefers_what_completes(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(1500):
+        a, b = rng.gauss(0, 1), rng.gauss(0, 1)
+        rows.append((i, int(1.2 * a + 0.9 * b + rng.gauss(0, 0.7) > 0), a + rng.gauss(0, 0.2), a + rng.gauss(0, 0.2), b + rng.gauss(0, 0.9), rng.random(), None))
+    df = spark.createDataFrame(rows, "i long, y int, twin1 double, twin2 double, other double, chance double, blank double")
+    got = select.forward(df, select.ranked(df, ["twin1", "twin2", "other", "chance", "blank"], "y"), "y", "i", limit=2)
+    assert len(got) == 2 and "other" in got  # two near twins have the two best single scores
+    assert select.forward(df, [], "y", "i") == [] and select.forward(df, ["twin1"], "y", "i", late=lambda: True) == []
+
+
+def test_codes_match_plain_sums(spark):
+    rng = random.Random(6)
+    rows = [(i % 3, int(rng.random() < 0.4), rng.choice(["p", "q", None])) for i in range(90)]
+    got = select.woe_codes(spark.createDataFrame(rows, "fold int, y int, b string"), {"b": "b"}, "y", "fold").collect()
+    for r in got:
+        rest = [(y, b) for f, y, b in rows if f != r.fold]
+        n = lambda y, b=0: sum(1 for v, c in rest if v == y and (b == 0 or c == b))
+        want = math.log(((n(1, r.b) + 0.5) / (n(1) + 0.5)) / ((n(0, r.b) + 0.5) / (n(0) + 0.5)))
+        assert abs(r["__w_b"] - want) < 1e-12
+
+
+def test_time_limit_cuts_jobs(spark):
+    began = time.perf_counter()
+    with pytest.raises(TimeoutError), pipeline.within(spark, 1.5):
+        spark.range(0, 4, 1, 4).selectExpr("reflect('java.util.concurrent.locks.LockSupport', 'parkNanos', 60000000000L + id)").collect()
+    assert time.perf_counter() - began < 30
+    with pytest.raises(TimeoutError), pipeline.within(spark, 0):
+        pass
+    with pytest.raises(KeyError), pipeline.within(spark, 100):
+        raise KeyError("own errors pass")
+    assert spark.range(5).count() == 5
