@@ -56,6 +56,35 @@ WOE = """w AS (
 BINNED = LABELLED + ", binned AS (SELECT *, least(floor(n_chars / 500.0::DOUBLE), 10)::BIGINT AS bin FROM labelled)"
 PAIRS = [(a, b) for i, a in enumerate(["n_orders", "total", "mean_price", "share_f", "c_acctbal"]) for b in ["n_orders", "total", "mean_price", "share_f", "c_acctbal"][i + 1 :]]
 
+_BINS = LABELLED + """, rows AS (
+  SELECT doc_id % 5 AS fold, quality AS y, least(floor(n_chars / 500.0::DOUBLE), 10)::BIGINT::VARCHAR AS chars, least(floor(n_words / 100.0::DOUBLE), 10)::BIGINT::VARCHAR AS words, lang FROM labelled),
+folds AS (SELECT fold, sum(y) AS fp, sum(1 - y) AS fn FROM rows GROUP BY 1),
+al AS (SELECT sum(y) AS ap, sum(1 - y) AS an FROM rows)"""
+
+
+def _codes(x: str) -> str:
+    """Log ratio of class shares in a bin, from the other folds."""
+    return f"""c_{x} AS (
+  SELECT b.{x}, b.fold, ln(((o.op - b.p + 0.5::DOUBLE) / (ap - fp + 0.5::DOUBLE)) / ((o.q - b.n + 0.5::DOUBLE) / (an - fn + 0.5::DOUBLE))) AS w_{x}
+  FROM (SELECT {x}, fold, sum(y) AS p, sum(1 - y) AS n FROM rows GROUP BY 1, 2) b
+  JOIN (SELECT {x}, sum(y) AS op, sum(1 - y) AS q FROM rows GROUP BY 1) o USING ({x}) JOIN folds USING (fold), al)"""
+
+
+_SETS = {"chars": "w_chars", "words": "w_words", "lang": "w_lang", "chars+words": "w_chars + w_words", "chars+lang": "w_chars + w_lang", "words+lang": "w_words + w_lang"}
+SETS = (
+    f"WITH {_BINS}, " + ", ".join(_codes(x) for x in ("chars", "words", "lang"))
+    + ", coded AS (SELECT fold, y, w_chars, w_words, w_lang FROM rows JOIN c_chars USING (chars, fold) JOIN c_words USING (words, fold) JOIN c_lang USING (lang, fold)), long AS ("
+    + " UNION ALL ".join(f"SELECT '{s}' AS set_id, fold, y, round({e}, 9) AS x FROM coded" for s, e in _SETS.items())
+    + f"), s AS ({auc('long', 'x', 'y', 'set_id, fold')}), m AS (SELECT set_id, avg(auc) AS mean_auc FROM s GROUP BY 1)"
+)
+_LAST = "(o_orderdate::DATE > (SELECT max(o_orderdate)::DATE FROM orders) - {n})"
+GRAMMAR = ", ".join(
+    [f"(count(*) FILTER {_LAST.format(n=n)})::DOUBLE AS orders_count_{n}d_o_orderdate, round((count(*) FILTER {_LAST.format(n=n)})::DOUBLE / count(*), 6) AS orders_share_{n}d_o_orderdate, round(coalesce(sum(o_totalprice) FILTER {_LAST.format(n=n)}, 0), 2) AS orders_sum_o_totalprice_{n}d_o_orderdate" for n in (30, 90)]
+    + [f"round(avg((o_orderstatus = '{v}')::INT), 6) AS orders_share_o_orderstatus_{v}" for v in "FOP"]
+    + [f"round(avg((o_orderpriority = '{v}')::INT), 6) AS orders_share_o_orderpriority_{n}" for v, n in (("1-URGENT", "1_URGENT"), ("2-HIGH", "2_HIGH"), ("3-MEDIUM", "3_MEDIUM"), ("4-NOT SPECIFIED", "4_NOT_SPECIFIED"), ("5-LOW", "5_LOW"))]
+    + [f"date_diff('day', DATE '1970-01-01', {f}(o_orderdate)::DATE)::DOUBLE AS orders_{f}_o_orderdate, {f}(o_totalprice) AS orders_{f}_o_totalprice" for f in ("min", "max")]
+)
+
 ORACLE_SQL = {
     "flagship_feature_auc": f"WITH {CUSTOMER}, s AS ({auc('long', 'value', 'y', 'feature')}) SELECT feature, round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini FROM s",
     "scan_profile": PROFILE,
@@ -127,6 +156,11 @@ SELECT doc_id, round(encoded, 6) AS encoded FROM labelled JOIN e ON e.lang = lab
     "ev_top_features": f"WITH {CUSTOMER}, s AS ({auc('long', 'value', 'y', 'feature')}) SELECT feature, round(abs(auc - 0.5::DOUBLE), 6) AS importance FROM s ORDER BY importance DESC, feature LIMIT 20",
     "ev_best_set": f"WITH {LABELLED}, l AS (SELECT doc_id % 5 AS fold, quality, set_id, x FROM (SELECT doc_id, quality, n_chars::DOUBLE AS n_chars, n_words::DOUBLE AS n_words FROM labelled) UNPIVOT (x FOR set_id IN (n_chars, n_words))), s AS ({auc('l', 'x', 'quality', 'set_id, fold')}), m AS (SELECT set_id, round(avg(auc), 6) AS mean_auc FROM s GROUP BY 1) SELECT set_id, mean_auc FROM m ORDER BY mean_auc DESC, set_id DESC LIMIT 1",
     "set_train_test_union": f"WITH {LABELLED} SELECT doc_id, CASE WHEN is_test = 0 THEN quality END AS quality, n_chars, CASE WHEN is_test = 0 THEN 'train' ELSE 'test' END AS part FROM labelled",
+    "ev_sets_cv": f"{SETS} SELECT set_id, round(mean_auc, 6) AS mean_auc FROM m",
+    "ev_forward_set": f"""{SETS}, one AS (SELECT set_id AS feature, mean_auc FROM m WHERE instr(set_id, '+') = 0 ORDER BY round(mean_auc, 9) DESC, 1 LIMIT 1),
+two AS (SELECT replace(replace(set_id, feature, ''), '+', '') AS feature, m.mean_auc, one.mean_auc AS before FROM m, one WHERE instr(set_id, '+') > 0 AND instr(set_id, feature) > 0 ORDER BY round(m.mean_auc, 9) DESC, 1 LIMIT 1)
+SELECT 1::BIGINT AS step, feature, round(mean_auc, 6) AS mean_auc FROM one UNION ALL SELECT 2, feature, round(mean_auc, 6) FROM two WHERE mean_auc - before >= 0.001""",
+    "agg_grammar": f"SELECT o_custkey AS id, count(*)::DOUBLE AS orders_count, round(sum(o_totalprice), 2) AS orders_sum_o_totalprice, {GRAMMAR} FROM orders GROUP BY 1",
     "set_id_overlap": "SELECT count(*) AS n_shared FROM (SELECT doc_id FROM labels WHERE doc_id % 5 = 0 INTERSECT SELECT doc_id FROM labels WHERE doc_id % 5 <> 0)",
     "set_missing_ids": "SELECT count(*) AS n_missing FROM (SELECT doc_id FROM documents EXCEPT ALL SELECT doc_id FROM labels)",
     "contract_violations": f"""WITH {LABELLED}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import encoders, metrics
 from ..functions.columns import fill_missing, noise
 from ..operators import evaluate, joins, profile, select
-from ..operators.features import FeatureSpec, compile_features, recency
+from ..operators.features import FeatureSpec, compile_features, grammar, recency
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -345,6 +345,36 @@ def ev_best_set(spark, d):
     return means.agg(F.max_by("set_id", F.struct("mean_auc", "set_id")).alias("set_id"), F.max("mean_auc").alias("mean_auc"))
 
 
+SET_BINS = {"chars": "b_chars", "words": "b_words", "lang": "lang"}
+
+
+def coded(spark, d) -> DataFrame:
+    """Labelled documents with out-of-fold codes of three binned features."""
+    bins = {"b_chars": metrics.width_bin(F.col("n_chars"), 500, 10), "b_words": metrics.width_bin(F.col("n_words"), 100, 10), "fold": F.col("doc_id") % 5}
+    return select.woe_codes(labelled(spark, d).withColumns(bins), SET_BINS, "quality", "fold")
+
+
+def ev_sets_cv(spark, d):
+    names = list(SET_BINS)
+    sets = {n: [n] for n in names} | {f"{a}+{b}": [a, b] for i, a in enumerate(names) for b in names[i + 1 :]}
+    return select.set_scores(coded(spark, d), sets, "quality", "fold").select("set_id", r6("mean_auc", "mean_auc"))
+
+
+def ev_forward_set(spark, d):
+    steps = select.grow(coded(spark, d), list(SET_BINS), "quality", "fold", limit=2)
+    rows = [(i, f, auc) for i, (f, auc) in enumerate(steps, 1)]
+    return spark.createDataFrame(rows, "step long, feature string, mean_auc double").select("step", "feature", r6("mean_auc", "mean_auc"))
+
+
+def agg_grammar(spark, d):
+    """What the search makes of orders by itself: counts, sums, shares of each status and priority, windows up to the last day."""
+    orders = t(spark, d, "orders").drop("o_orderkey")
+    specs = grammar("orders", orders, "o_custkey", (), profile.common_values(orders), profile.last_days(orders))
+    specs = [s for s in specs if s.name.startswith(("orders_count", "orders_sum", "orders_share", "orders_min", "orders_max"))]
+    made = compile_features(orders.select(F.col("o_custkey").alias("id")).distinct(), "id", {"orders": orders}, specs)
+    return made.select("id", *(F.round(F.col(s.name).cast("double"), 2 if "_sum_" in s.name else 6).alias(s.name) for s in specs))
+
+
 def set_train_test_union(spark, d):
     rows = labelled(spark, d)
     train, test = rows.where("is_test = 0").select("doc_id", "quality", "n_chars"), rows.where("is_test = 1").select("doc_id", "n_chars")
@@ -410,7 +440,7 @@ NAMES = [
     "agg_grouping_sets", "agg_rollup", "agg_cube", "agg_time_bucket", "agg_sessions", "win_rank_in_group", "win_gap", "win_trailing_7d",
     "win_expanding_prior", "win_zscore", "win_percent_rank", "bin_quantile", "bin_width", "sc_date_parts", "sc_ratio_log", "sc_text_stats",
     "sc_json", "sc_cross", "sc_fill_cast", "arr_norm_centroid", "enc_frequency", "enc_target_smoothed", "enc_target_oof", "enc_woe", "enc_rare",
-    "ev_auc", "ev_gini", "ev_auc_cv", "ev_iv", "ev_psi", "ev_mutual_info", "ev_corr_matrix", "ev_top_features", "ev_best_set",
+    "ev_auc", "ev_gini", "ev_auc_cv", "ev_iv", "ev_psi", "ev_mutual_info", "ev_corr_matrix", "ev_top_features", "ev_best_set", "ev_sets_cv", "ev_forward_set", "agg_grammar",
     "set_train_test_union", "set_id_overlap", "set_missing_ids", "contract_violations", "matrix_train", "matrix_test", "baseline_noise",
     "gbt_cv_score", "stream_daily_counts",
 ]
