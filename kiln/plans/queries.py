@@ -10,6 +10,7 @@ from ..functions import encoders, metrics
 from ..functions.columns import fill_missing, noise
 from ..operators import evaluate, joins, profile, select
 from ..operators.features import FeatureSpec, compile_features, grammar, recency
+from ..operators.ordered import running_before
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -224,14 +225,29 @@ def win_zscore(spark, d):
     return p.join(means, "p_brand").select("p_partkey", r6((F.col("p_retailprice") - F.col("m")) / F.nullif("s", F.lit(0.0)), "z"))
 
 
+def placed(df: DataFrame, group: str, order: str) -> DataFrame:
+    """``df`` with the rows of its group (``__all``), of its value (``__n``) and of smaller values (``__n_before``); groups are ordered in ranges."""
+    counts = df.groupBy(group, order).agg(F.count(F.lit(1)).alias("__n"))
+    totals = counts.groupBy(group).agg(F.sum("__n").alias("__all")).withColumnRenamed(group, "__g")
+    counts = running_before(counts, order, ["__n"], [group]).withColumnsRenamed({group: "__group", order: "__value"})
+    rows = df.join(counts, F.col(group).eqNullSafe(F.col("__group")) & F.col(order).eqNullSafe(F.col("__value")))
+    return rows.join(totals, F.col(group).eqNullSafe(F.col("__g"))).drop("__group", "__value", "__g")
+
+
 def win_percent_rank(spark, d):
-    w = W.partitionBy("c_nationkey").orderBy("c_acctbal")
-    return t(spark, d, "customer").select("c_custkey", r6(F.percent_rank().over(w), "pr"), r6(F.cume_dist().over(w), "cd"))
+    rows = placed(t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal"), "c_nationkey", "c_acctbal")
+    pr = F.when(F.col("__all") > 1, F.col("__n_before") / (F.col("__all") - 1)).otherwise(0.0)
+    return rows.select("c_custkey", r6(pr, "pr"), r6((F.col("__n_before") + F.col("__n")) / F.col("__all"), "cd"))
 
 
 def bin_quantile(spark, d):
-    w = W.partitionBy("c_mktsegment").orderBy("c_acctbal", "c_custkey")
-    return t(spark, d, "customer").select("c_custkey", F.ntile(10).over(w).cast("long").alias("decile"))
+    rows = placed(t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"), "c_mktsegment", "c_acctbal")
+    ties = W.partitionBy("c_mktsegment", "c_acctbal").orderBy("c_custkey")
+    at = F.col("__n_before") + F.row_number().over(ties) - 1
+    short, longer = F.floor(F.col("__all") / 10), F.col("__all") % 10  # the first ``longer`` deciles have a row more
+    early = longer * (short + 1)
+    decile = F.when(at < early, F.floor(at / (short + 1))).otherwise(longer + F.floor((at - early) / F.greatest(short, F.lit(1))))
+    return rows.select("c_custkey", (decile + 1).cast("long").alias("decile"))
 
 
 def bin_width(spark, d):

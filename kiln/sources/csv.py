@@ -45,6 +45,13 @@ def unique_names(header: list[str]) -> list[str]:
     return names
 
 
+def one_line_rows(spark: SparkSession, path: str) -> bool:
+    """True if every row is a line of its own, so a file can be cut anywhere: no line has an odd number of quotes, as one that
+    ends within quotes has, and none is blank but for delimiters, which a reader of lines would drop."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).where((quotes % 2 == 1) | F.col("value").rlike(r"^[\x01-\x20]+$")).isEmpty()
+
+
 KINDS = ("bigint", "double", "boolean", "date")
 
 
@@ -58,7 +65,7 @@ def read_csv(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
     names = unique_names(raw_header(line, sep))
     slots = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in [*slots, "too_many"]])
-    text = spark.read.csv(path, schema=schema, header=True, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=True)
+    text = spark.read.csv(path, schema=schema, header=True, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=not one_line_rows(spark, path))
     text = text.withColumns({s: F.when(~F.trim(s).isin(*NULL_TOKENS), F.col(s)) for s in slots})
     fits = []
     for s in slots:

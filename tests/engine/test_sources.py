@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from kiln.sources import catalog
+from kiln.sources import catalog, csv
 from kiln.sources.csv import read_csv, sniff, unique_names, write_csv
 
 
@@ -63,3 +63,14 @@ def test_catalog_and_project_files(spark, tmp_path):
     with pytest.raises(TypeError):
         catalog.dependencies('[project]\ndependencies = "x"')
     assert catalog.has_setting("A=1\nKEY=2", "KEY") and not catalog.has_setting("A=1", "KEY")
+
+
+def test_rows_of_one_line_and_of_several(spark, tmp_path):
+    plain, broken, blank = tmp_path / "plain.csv", tmp_path / "broken.csv", tmp_path / "blank.csv"
+    plain.write_text('a,b\n1,"say ""hi"", you"\n2,"x"\n')
+    broken.write_text('a,b\n1,"two\nlines"\n2,x\n')
+    blank.write_text("a\tb\n1\tx\n\t\n2\ty\n")
+    assert csv.one_line_rows(spark, str(plain)) and not csv.one_line_rows(spark, str(broken)) and not csv.one_line_rows(spark, str(blank))
+    assert sorted(map(tuple, csv.read_csv(spark, str(plain)).collect())) == [(1, 'say "hi", you'), (2, "x")]
+    assert sorted(map(tuple, csv.read_csv(spark, str(broken)).collect())) == [(1, "two\nlines"), (2, "x")]
+    assert csv.read_csv(spark, str(blank)).count() == 3
