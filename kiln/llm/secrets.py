@@ -29,7 +29,7 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 #: The same matches as HEX with 24 characters or more: greedy runs that are shorter can't hold longer ones.
 LONG_HEX = "[0-9a-f]{24,}"
-OPAQUE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])"
+OPAQUE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+(?![A-Za-z0-9+/_=-])"
 KINDS = ("assign", "access", "hex", "opaque")
 #: A value of at most so many owners may be live.
 LIVE_OWNERS = 1

@@ -1,6 +1,7 @@
 """Secret spans against Python's re, and ownership by brute force."""
 
 import hashlib
+import random
 import re
 import time
 
@@ -75,3 +76,12 @@ def test_many_spans_in_one_text(spark):
         got = spark.createDataFrame([(text,)], "t string").select(regex_spans(F.col("t"), "k[0-9]+=", 0, "assign").alias("s")).first().s
         assert [(r.start, r.end, r.value) for r in got] == [(m.start(), m.end(), m[0]) for m in re.finditer("k[0-9]+=", text)]
         assert time.time() - began < 15
+
+
+def test_long_opaque_values_are_candidates(spark):
+    rng = random.Random(1)
+    for n in (200, 201, 5_000, 200_000):
+        value = "".join(rng.choice("ghijklmnoUVWXYZ0123+/") for _ in range(n))
+        began = time.time()
+        row = secrets.scan(spark.createDataFrame([(1, f"key {value} end", "a")], "doc_id long, text string, source string")).first()
+        assert [(s.kind, s.start, s.end) for s in row.secret_spans] == [("opaque", 4, 4 + n)] and time.time() - began < 30
