@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stored, table
+from .common import drop, shared_dir, stored, table
 
 SAMPLE = 20_000
 MAX_LISTS = 4096
@@ -148,6 +148,7 @@ def search(vectors: DataFrame, asks: DataFrame, k: int = 5, recall: float = RECA
 
     indexed = stored(vectors.mapInPandas(nearest(1), "vec_id long, embedding array<double>, list int, place int").drop("place"), "indexed", folder)
     asked = stored(asks.mapInPandas(nearest(n_probes), "vec_id long, embedding array<double>, list int, place int"), "asked", folder)
+    drop(spark, folder, "vectors")
     # A row per list: how many blocks and groups of queries it needs.
     sizes = indexed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     groups = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("groups"))

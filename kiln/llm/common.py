@@ -7,6 +7,9 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -19,6 +22,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _own_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
+#: Shared folders made within the ``scratch`` block of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def ship(spark: SparkSession) -> None:
@@ -52,7 +57,31 @@ def shared_dir(spark: SparkSession) -> str:
             _own_dirs[app] = tempfile.mkdtemp(prefix="kiln-")
             atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
         base = f"file://{_own_dirs[app]}"
-    return f"{base.rstrip('/')}/kiln-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/kiln-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(folder)
+    return folder
+
+
+def drop(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete stored tables that nothing still to be run reads, or the whole folder where none is named."""
+    context = spark.sparkContext
+    for name in names or ("",):
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}".rstrip("/"))
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the shared folders that operators made within the block; results must be stored elsewhere by then."""
+    made: list[str] = []
+    mark = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(mark)
+        for folder in made:
+            drop(spark, folder)
 
 
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import drop, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -22,7 +22,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """``edges(a, b)`` of longs to a stored ``(node, root)``, a row for every node that has an edge; root is the least node."""
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0", folder)
+    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}/0", folder)
     seen = None
     step = 0
     while True:
@@ -30,6 +30,7 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
         if mark == seen:
             break
         seen, step = mark, step + 1
-        now = stored(_star(_star(now, True), False), f"{name}-{step}", folder)
+        now = stored(_star(_star(now, True), False), f"{name}/{step}", folder)
+        drop(edges.sparkSession, folder, f"{name}/{step - 1}")
     # Now every edge hangs a node on its root.
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

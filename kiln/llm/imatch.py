@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import drop, shared_dir, stored, table
 
 MIN_SHARE = 0.002
 MAX_SHARE = 0.10
@@ -155,7 +155,7 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", "text", "text_hash", F.when(F.col("doc_id").isNull(), of_nulls).otherwise(known).alias("range"))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """range, doc_id, text, pos and the text and pos of the next document in descending doc_id (after the last: the first).
 
     Ranges are ordered apart; the first row of each serves the last row of the range before.
@@ -163,10 +163,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     ranged = in_ranges(docs)
     # The first row of a range has its largest id, then the least hash of a text.
     tops = ranged.groupBy(F.col("range").alias("t_range")).agg(F.max(F.struct("doc_id", F.bitwise_not("text_hash").alias("turned"))).alias("top"))
-    tops = bounded(stored(tops.select("t_range", "top.doc_id", F.bitwise_not("top.turned").alias("top_hash")).withColumnRenamed("doc_id", "top_id"), "tops"))
+    tops = bounded(stored(tops.select("t_range", "top.doc_id", F.bitwise_not("top.turned").alias("top_hash")).withColumnRenamed("doc_id", "top_id"), "tops", folder))
     # Two numbers a range; beyond the limit of a broadcast Spark shuffles texts for this join.
     met = ranged.join(tops, (F.col("range") == F.col("t_range")) & F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("text_hash") == F.col("top_hash")))
-    heads = stored(met.groupBy("range").agg(F.min("text").alias("head_text")), "heads")
+    heads = stored(met.groupBy("range").agg(F.min("text").alias("head_text")), "heads", folder)
     # The range that follows: within blocks of ranges, and from the last of a block to the first of the next that has any.
     block = F.shiftright("range", 12)
     firsts = heads.groupBy(block.alias("block")).agg(F.min("range").alias("first"))
@@ -186,16 +186,18 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lex = stored(lexicon(docs), "lexicon")
+    folder = shared_dir(spark)
+    lex = stored(lexicon(docs), "lexicon", folder)
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))"), F.expr("substring(next_text, 1, cast(floor(length(text) / 3) as int))"))
-    both = with_next(docs).withColumn("edited", edited)
+    both = with_next(docs, folder).withColumn("edited", edited)
     facts = F.struct("doc_id", F.length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.encode("edited", "UTF-8"), 256)).alias("edited_sha256"), "next_pos")
     # Rows lie by range from the order on, and range leads both groupings, so neither shuffles.
     each = both.select("range", "pos", facts.alias("facts"), F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
     prints = fingerprints(each.select("range", "pos", "facts", "v.which", "v.text"), lex, ["range", "pos", "facts", "which"])
     paired = prints.groupBy("range", "pos", "facts").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
-    paired = stored(paired, "prints")
+    paired = stored(paired, "prints", folder)
+    drop(spark, folder, "lexicon", "tops", "heads")
     following = paired.select(F.col("pos").alias("f_pos"), F.col("fingerprint").alias("next_fingerprint"))
     done = paired.join(following, F.col("facts.next_pos") == F.col("f_pos"))
     return done.select(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import hash52, stored, table, word_count
+from .common import drop, hash52, shared_dir, stored, table, word_count
 
 #: Rows of one source that a key range holds on average.
 ROWS_A_RANGE = 400
@@ -107,7 +107,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     The sum of size * repeats over a source ends within half a row (or group of equal rows) of its target.
     """
     measured = _measured(docs, doc_id, text, source, seed, quality)
-    sources = stored(source_plan(stored(measured.select("src", "size", "key"), "measured"), weights), "sources")
+    spark = docs.sparkSession
+    folder = shared_dir(spark)
+    sources = stored(source_plan(stored(measured.select("src", "size", "key"), "measured", folder), weights), "sources", folder)
+    drop(spark, folder, "measured")
     placed = measured.join(sources, F.col("src").eqNullSafe(F.col("s_src")), "left")
     return placed.select(
         *(F.col("row").getField(c).alias(c) for c in docs.columns),

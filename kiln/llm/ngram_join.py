@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow import SLICE, segments, slices
-from .common import mix64, shared_dir, stored, table
+from .common import drop, mix64, shared_dir, stored, table
 from .components import components
 
 #: Cost of one entry of an inverted list (its checks included) in enumerated subsets.
@@ -265,6 +265,7 @@ def ngram_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     several = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1").select("token"), "several", folder)
     few = F.broadcast(several) if several.count() <= MAX_BROADCAST_TOKENS else several
     lists = stored(entries.join(few, "token"), "lists", folder)
+    drop(spark, folder, "prefixes", "several")
     hub = lists.groupBy("token").agg(F.min(F.struct("pos", "n", "node")).alias("r"))
     first = stored(_pairs(lists.alias("l").join(hub, "token").where(_can_link("l", "r", num, den))), "first", folder)
 
@@ -278,16 +279,20 @@ def ngram_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
         return stored(_sets(docs.join(few, F.col("doc_id").eqNullSafe(F.col("asked")), "left_semi"), k), f"{name}-sets", folder)
 
     linked = stored(_checked(first, sets_of(first, "first"), num, den).union(light), "linked", folder)
+    drop(spark, folder, "first-ids", "first-sets")
     roots = components(linked, folder, "roots")
     placed = lists.join(roots, "node", "left").select("token", "pos", "n", "node", F.coalesce("root", "node").alias("root"))
     placed = stored(placed, "placed", folder)
+    drop(spark, folder, "linked", "lists")
     shares = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"))
     mixed = shares.groupBy("token").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
     mixed = stored(placed.join(mixed, "token"), "mixed", folder)
+    drop(spark, folder, "placed")
     rest = mixed.where("root <> main").alias("l").join(mixed.alias("r"), (F.col("l.token") == F.col("r.token")) & (F.col("l.root") != F.col("r.root")) & _can_link("l", "r", num, den))
     second = stored(_pairs(rest).join(first, ["a", "b"], "left_anti"), "second", folder)
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_checked(second, sets_of(second, "second"), num, den))
     roots = components(links, folder, "all")
+    drop(spark, folder, "first", "mixed", "second", "second-ids", "second-sets", "roots")
 
     # Per node first, so copies meet only in sums that combine before the shuffle.
     nodes = rows.where("n > 0").groupBy("node", "node2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("least"))

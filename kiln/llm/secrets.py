@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NON_WORD, shared_dir, stored, table
+from .common import NON_WORD, drop, shared_dir, stored, table
 from .components import components
 from .spans import no_spans, regex_spans, span_text
 
@@ -74,7 +74,9 @@ def copies(texts: DataFrame) -> DataFrame | None:
     equal = F.size(F.filter(F.zip_with("sketch", "hub.sketch", lambda a, b: a == b), lambda same: same))
     folder = shared_dir(texts.sparkSession)
     links = stored(met.where(equal >= ALIKE * SKETCH).select(F.col("text").alias("a"), F.col("hub.text").alias("b")).distinct(), "links", folder)
-    return None if links.isEmpty() else components(links, folder, "copies")
+    roots = None if links.isEmpty() else components(links, folder, "copies")
+    drop(texts.sparkSession, folder, "links")
+    return roots
 
 
 def holders(values: DataFrame, who: str, name: str) -> DataFrame:

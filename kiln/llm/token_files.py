@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .arrow import kept, release, segments, slices
 from .bpe import Splitter, byte_chars, default_path
-from .common import shared_dir, ship, stored, table
+from .common import drop, shared_dir, ship, stored, table
 
 MAGIC = b"KILNHUF1"
 BLOCK = 256
@@ -331,7 +331,9 @@ def write_corpus(docs: DataFrame, path: str | None = None, end_id: int = 1, max_
     rows = docs.sparkSession.read.schema(rows.schema).parquet(f"{folder}/ids")
     counts = id_counts(rows, size)
     lengths = code_lengths(counts, max(max_len, size.bit_length()))
-    return write_files(rows.where(F.col("ids").isNotNull()), lengths, int(counts.sum()), kind, folder)
+    files = write_files(rows.where(F.col("ids").isNotNull()), lengths, int(counts.sum()), kind, folder)
+    drop(docs.sparkSession, folder, "ids")
+    return files
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
