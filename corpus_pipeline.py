@@ -1,6 +1,6 @@
 """The corpus pipeline: quality, near duplicates, personal data, mixing, token ids.
 
-Every stage takes what its predecessor kept, as stored Parquet. Null, empty and repeated rows keep the results that the operators
+Every stage takes what its predecessor kept, as stored Parquet; what a stage's operators stored goes when the stage is done. Null, empty and repeated rows keep the results that the operators
 define; an empty table passes through. A row's columns travel in one struct, so they may have any names.
 """
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm import bpe, mixing, pii, quality
-from kiln.llm.common import shared_dir, stored, table
+from kiln.llm.common import scratch, shared_dir, stored, table
 from kiln.llm.ngram_join import ngram_classes
 
 #: So many keys of rows that go are broadcast at most; more are joined by a shuffle.
@@ -81,5 +81,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), shared_dir(spark)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name, folder)
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, folder)
     return docs
