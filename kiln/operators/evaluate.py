@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -14,6 +16,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import fill_missing
 from ..functions.metrics import auc, class_weights, stratified_folds
 
+#: Rows that a task of a fit gets at least; a round is a dozen short jobs, so smaller tasks cost more to start than to run.
+ROWS_A_TASK = 20_000
+#: Folds that are fitted at once.
+FITS_AT_ONCE = 5
+
 
 @dataclass(frozen=True)
 class BoostParams:
@@ -55,13 +62,18 @@ def predict(model, rows: DataFrame) -> DataFrame:
 
 
 def cv_scores(df: DataFrame, row_id: str, features: list[str], target: str, k: int = 5, params: BoostParams = BoostParams()) -> DataFrame:
-    """fold, auc over stratified folds. One fit per fold; each fit is a Spark job over all its rows, and only its AUC comes back."""
-    data = stratified_folds(fill_missing(df, features).withColumn(target, F.col(target).cast("double")), row_id, target, k).cache()
-    found = []
+    """fold, auc over stratified folds. One fit per fold, several at once; each fit is Spark jobs over all its rows, and only its AUC comes back."""
+    data = stratified_folds(fill_missing(df.select(row_id, target, *features), features).withColumn(target, F.col(target).cast("double")), row_id, target, k).cache()
+
+    def judged(f: int) -> tuple[int, float]:
+        model = fit_boosted(sized.where(F.col("fold") != f), features, target, params)
+        return f, auc(predict(model, sized.where(F.col("fold") == f)), "p", target).first()["auc"]
+
     try:
-        for f in range(k):
-            model = fit_boosted(data.where(F.col("fold") != f), features, target, params)
-            found.append((f, auc(predict(model, data.where(F.col("fold") == f)), "p", target).first()["auc"]))
+        sized = data.coalesce(max(1, -(-data.count() // ROWS_A_TASK)))
+        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+            # The threads carry the caller's job tags, by which a time limit cancels jobs.
+            found = [x.result() for x in [pool.submit(inheritable_thread_target(df.sparkSession)(judged), f) for f in range(k)]]
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(found, "fold long, auc double")

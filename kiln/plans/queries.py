@@ -437,7 +437,14 @@ def baseline_noise(spark, d):
 
 
 def gbt_cv_score(spark, d):
-    return evaluate.cv_scores(labelled(spark, d), "doc_id", ["n_chars", "n_words", "lang"], "quality", params=evaluate.BoostParams(rounds=10))
+    return evaluate.cv_scores(labelled(spark, d), "doc_id", ["n_chars", "n_words", "lang"], "quality", params=evaluate.BoostParams(rounds=30))
+
+
+def score_report(spark, d):
+    labels = t(spark, d, "labels").select("doc_id", "quality")
+    got = evaluate.score(matrix_train(spark, d), matrix_test(spark, d), labels, "doc_id", "quality")
+    row = (got.roc_auc, got.gini, *(got.details[k] for k in ("cv_mean_auc", "cv_std_auc", "n_features", "train_rows", "test_rows")))
+    return spark.createDataFrame([row], "roc_auc double, gini double, cv_mean_auc double, cv_std_auc double, n_features int, train_rows long, test_rows long")
 
 
 def stream_daily_counts(spark, d):
@@ -458,6 +465,6 @@ NAMES = [
     "sc_json", "sc_cross", "sc_fill_cast", "arr_norm_centroid", "enc_frequency", "enc_target_smoothed", "enc_target_oof", "enc_woe", "enc_rare",
     "ev_auc", "ev_gini", "ev_auc_cv", "ev_iv", "ev_psi", "ev_mutual_info", "ev_corr_matrix", "ev_top_features", "ev_best_set", "ev_sets_cv", "ev_forward_set", "agg_grammar",
     "set_train_test_union", "set_id_overlap", "set_missing_ids", "contract_violations", "matrix_train", "matrix_test", "baseline_noise",
-    "gbt_cv_score", "stream_daily_counts",
+    "gbt_cv_score", "score_report", "stream_daily_counts",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}

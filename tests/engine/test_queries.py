@@ -45,4 +45,11 @@ def test_without_sql(spark):
     row = noise.selectExpr("avg(ft_1) m", "stddev_pop(ft_1) s", "corr(ft_1, ft_2) c").first()
     assert abs(row.m) < 0.3 and 0.8 < row.s < 1.2 and abs(row.c) < 0.3
     scores = QUERIES["gbt_cv_score"](spark, FOLDER).collect()
-    assert len(scores) == 5
+    assert [r.fold for r in sorted(scores)] == list(range(5)) and all(0 <= r.auc <= 1 for r in scores)
+
+
+def test_score_report(spark, duck):
+    (row,) = QUERIES["score_report"](spark, FOLDER).collect()
+    (split,) = duck.sql("SELECT count_if(doc_id % 5 <> 0), count_if(doc_id % 5 = 0) FROM labels JOIN documents USING (doc_id)").fetchall()
+    assert (row.train_rows, row.test_rows) == split and row.n_features == 3
+    assert 0 <= row.roc_auc <= 1 and abs(row.gini - (2 * row.roc_auc - 1)) < 1e-5 and 0 <= row.cv_mean_auc <= 1
