@@ -50,11 +50,11 @@ _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _ODD = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
-def word_hashes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash per word, and the number of its part, over lower-cased texts."""
+def word_hashes(parts: list[bytes], outside: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash per word, and the number of its part, over lower-cased texts; ``outside`` has the bytes between words, the line feed among them."""
     raw = b"\n".join(parts)
     data = np.frombuffer(raw, np.uint8)
-    inside = ~_BLANK[data]
+    inside = ~outside[data]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
