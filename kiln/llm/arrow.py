@@ -72,14 +72,20 @@ def segments(text: str, size: int = SLICE) -> Iterator[tuple[int, str]]:
     yield start, text[start:] if start else text
 
 
+def check_names(df: DataFrame, keep: list[str], added: list[str]) -> None:
+    """Raise ValueError where a kept column has the name of an added one, as Spark compares names."""
+    same = (lambda c: c) if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    clash = [c for c in keep if same(c) in {same(a) for a in added}]
+    if clash:
+        raise ValueError(f"columns {clash} exist already")
+
+
 def add_columns(df: DataFrame, text: str, keep: list[str], added: StructType, per_slice: Callable[[], Callable[[list[str]], list[pa.Array]]]) -> DataFrame:
     """``keep`` and ``text`` of ``df`` through ``mapInArrow``; ``per_slice()`` is made once a task and turns texts into the added columns.
 
     ``text`` itself is returned only where ``keep`` names it. Row order and number are kept.
     """
-    clash = [f.name for f in added if f.name in keep]
-    if clash:
-        raise ValueError(f"columns {clash} exist already")
+    check_names(df, keep, added.names)
     ship(df.sparkSession)
     carried = list(dict.fromkeys([*keep, text]))
     schema = StructType([*(df.schema[c] for c in keep), *added.fields])

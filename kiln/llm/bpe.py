@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import SLICE, add_columns, kept, segments
+from .arrow import SLICE, add_columns, check_names, kept, segments
 from .common import table
 
 #: Bytes that a task may hold as ids of words, and of pieces of words.
@@ -360,7 +360,8 @@ def encode(df: DataFrame, keep: list[str], path: str | None = None, text: str =
 
 
 def decode(df: DataFrame, keep: list[str], path: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``keep`` of ``df`` and ``text``: the decoded ids (null: empty)."""
+    """``keep`` of ``df`` and ``text``: the decoded ids (null: empty). A kept column named ``text`` raises ValueError."""
+    check_names(df, keep, [text])
     path = path or default_path()
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(text, T.StringType())])
 

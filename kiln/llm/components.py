@@ -1,4 +1,7 @@
-"""Connected components of a table of links, by alternating large-star and small-star steps."""
+"""Connected components of a table of links, by alternating large-star and small-star steps.
+
+Defined results: no links give no rows; links of a node to itself, repeated and reversed links say nothing more; links with a null end say nothing.
+"""
 
 from __future__ import annotations
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .arrow import slices
+from .arrow import check_names, slices
 from .common import drop, shared_dir, ship, stored, table
 
 #: What is stripped at both ends of a line for its key.
@@ -200,9 +200,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 
     A line whose key has at least ``min_chars`` code points and stands in at least ``min_docs`` documents stays in the one with the largest id alone.
     """
-    clash = [c for c in docs.columns if c.lower() in ADDED]
-    if clash:
-        raise ValueError(f"columns {clash} exist already")
+    check_names(docs, docs.columns, list(ADDED))
     if min_docs < 2:
         raise ValueError("a line repeats from two documents on")
     spark = docs.sparkSession

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .arrow import check_names
 from .common import drop, hash52, shared_dir, stored, table, word_count
 
 #: Rows of one source that a key range holds on average.
@@ -104,8 +105,9 @@ def source_plan(measured: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", quality: Column | None = None, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """All of ``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target``, ``mix_repeats`` (times the row is taken).
 
-    The sum of size * repeats over a source ends within half a row (or group of equal rows) of its target.
+    The sum of size * repeats over a source ends within half a row (or group of equal rows) of its target. Columns of ``docs`` with one of the four names raise ValueError.
     """
+    check_names(docs, docs.columns, ["mix_size", "mix_source_size", "mix_target", "mix_repeats"])
     measured = _measured(docs, doc_id, text, source, seed, quality)
     spark = docs.sparkSession
     folder = shared_dir(spark)

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrow import check_names
 from .common import NON_WORD, drop, shared_dir, stored, table
 from .components import components
 from .spans import no_spans, regex_spans, span_text
@@ -89,8 +90,9 @@ def holders(values: DataFrame, who: str, name: str) -> DataFrame:
 
 
 def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "source") -> DataFrame:
-    """A row per row of ``docs`` (its columns but ``text``) with ``secret_base`` and ``secret_spans`` (arrays of spans, the latter with ``live``, ``owners``, ``repos`` and ``texts``), ``n_live`` and ``n_example`` (of all spans, values held by few or by many)."""
+    """A row per row of ``docs`` (its columns but ``text``) with ``secret_base`` and ``secret_spans`` (arrays of spans, the latter with ``live``, ``owners``, ``repos`` and ``texts``), ``n_live`` and ``n_example`` (of all spans, values held by few or by many). Columns with one of the four names raise ValueError."""
     names = [c for c in docs.columns if c != text]
+    check_names(docs, names, ["secret_base", "secret_spans", "n_live", "n_example"])
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.struct(F.col(f"`{owner}`").alias("o")).alias("owner"), F.struct(F.col(f"`{repository}`").alias("r")).alias("repo"), body.alias("body"))
     assign, access, hexes = base_spans(F.col("body"))

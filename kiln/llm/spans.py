@@ -1,4 +1,7 @@
-"""Spans of regular expressions in DataFrame operations: kind, start, end in code points."""
+"""Spans of regular expressions in DataFrame operations: kind, start, end in code points.
+
+Defined results: an empty text has no spans; a null text gives a null array, so callers pass an empty text for it.
+"""
 
 from __future__ import annotations
 

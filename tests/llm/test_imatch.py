@@ -104,3 +104,13 @@ def test_order_with_hot_and_null_ids(spark, monkeypatch):
     assert all(a.next_pos == b.pos for a, b in zip(ordered, [*ordered[1:], ordered[0]], strict=True))
     assert max(Counter(r.range for r in got).values()) <= 40
     assert len({r.range for r in got if r.doc_id == 7}) > 5 and len({r.range for r in got if r.doc_id is None}) > 5
+
+
+def test_long_text_and_empty_table_through_the_query(spark, tmp_path):
+    long = " ".join(f"term{i % 5000}" for i in range(150_000))
+    rows = [(1, long), (2, long), (3, "few words here"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    got = {r.doc_id: r for r in imatch.op6_imatch(spark, str(tmp_path / "a")).collect()}
+    assert got[1].n_chars == len(long) and got[1].fingerprint == got[2].fingerprint and len(got) == 4
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "b" / "documents.parquet"))
+    assert imatch.op6_imatch(spark, str(tmp_path / "b")).collect() == []

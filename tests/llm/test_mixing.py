@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from kiln.llm import mixing
 
 
@@ -54,3 +56,24 @@ def test_mix(spark, monkeypatch):
         assert abs(taken - want[s]) <= 3 * max(r.mix_size for r in own) / 2 + 1
         assert max(r.mix_repeats for r in own) - min(r.mix_repeats for r in own) <= 1  # complete epochs first
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_clashing_names_raise(spark):
+    df = spark.createDataFrame([(1, "a b", "s", 3)], "doc_id long, text string, source string, Mix_Size long")
+    with pytest.raises(ValueError, match="Mix_Size"):
+        mixing.mix(df)
+    from kiln.llm import bpe, secrets
+
+    with pytest.raises(ValueError, match="n_live"):
+        secrets.scan(df.withColumnRenamed("Mix_Size", "n_live"))
+    with pytest.raises(ValueError, match="decoded"):
+        bpe.decode(df.selectExpr("cast(text as binary) as ids", "doc_id as decoded"), ["decoded"])
+
+
+def test_long_texts_and_an_empty_table(spark, tmp_path):
+    long = "word " * 200_000
+    df = spark.createDataFrame([(1, long, "a"), (2, "x", "a"), (3, "y z", "b")], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix(df).collect()}
+    assert got[1].mix_size == 200_000 and got[1].mix_source_size == 200_001
+    df.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert mixing.op5_mix_sources(spark, str(tmp_path)).collect() == []
