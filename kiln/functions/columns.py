@@ -34,9 +34,15 @@ def feature_columns(output: list[str], inputs: list[str]) -> list[str]:
     return [c for c in output if c not in inputs]
 
 
+def order_hash(row_id: Column, seed: int | str) -> Column:
+    """52 bits of md5 over seed and id as a long: an order that any SQL engine with md5 can make; null ids share one place."""
+    joined = F.concat_ws("|", F.lit(str(seed)), F.coalesce(row_id.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(joined), 1, 13), 16, 10).cast("long")
+
+
 def noise(row_id: Column, seed: int) -> Column:
     """A standard normal number that depends on the row's id and the seed alone."""
-    u = lambda k: (F.pmod(F.xxhash64(row_id, F.lit(seed), F.lit(k)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    u = lambda k: (order_hash(row_id, f"{seed}|{k}") + 0.5) / float(1 << 52)
     return F.sqrt(-2 * F.log(u(0))) * F.cos(u(1) * 2 * 3.141592653589793)
 
 

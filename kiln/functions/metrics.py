@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.ordered import running_before
+from ..operators.ordered import FEW_GROUPS, running_before
 
 
 def auc(df: DataFrame, score: str, target: str) -> DataFrame:
@@ -20,10 +20,10 @@ def auc(df: DataFrame, score: str, target: str) -> DataFrame:
     return placed.agg(F.when(total > 0, F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)) / total).alias("auc"))
 
 
-def auc_by(df: DataFrame, score: str, target: str, by: list[str]) -> DataFrame:
-    """``auc`` per group of ``by``, all groups in one plan; a group's distinct scores are ordered in ranges."""
+def auc_by(df: DataFrame, score: str, target: str, by: list[str], few: bool = False) -> DataFrame:
+    """``auc`` per group of ``by``, all groups in one plan; a group's distinct scores are ordered in ranges. ``few`` as in ``ordered.range_of``."""
     counts = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("x")).agg(F.sum(F.col(target).cast("double")).alias("pos"), F.sum(1 - F.col(target).cast("double")).alias("neg"))
-    placed = running_before(counts, "x", ["neg"], by)
+    placed = running_before(counts, "x", ["neg"], by, few=few)
     total = F.sum("pos") * F.sum("neg")
     return placed.groupBy(*by).agg(F.when(total > 0, F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)) / total).alias("auc"))
 
@@ -86,8 +86,9 @@ def stratified_folds(df: DataFrame, row_id: str, target: str, k: int = 5) -> Dat
         total = total + alloc(f)
         ends.append(total)
     sized = sized.select(F.col(target).alias("__class"), F.array(*ends).alias("__ends"))
-    numbered = running_before(df.withColumn("__one", F.lit(1).cast("long")), row_id, ["__one"], [target])
-    joined = numbered.join(sized, F.col(target).eqNullSafe(F.col("__class")))
+    few = df.select(target).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    numbered = running_before(df.withColumn("__one", F.lit(1).cast("long")), row_id, ["__one"], [target], few=few)
+    joined = numbered.join(F.broadcast(sized) if few else sized, F.col(target).eqNullSafe(F.col("__class")))
     fold = F.size(F.filter("__ends", lambda e: e <= F.col("__one_before")))
     return joined.withColumn("fold", fold.cast("long")).drop("__class", "__ends", "__one", "__one_before")
 

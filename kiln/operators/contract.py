@@ -10,10 +10,19 @@ from ..functions.columns import feature_columns
 SCHEMA = "rule string, column_name string, detail string"
 
 
-def violations(spark: SparkSession, inputs: dict[str, DataFrame], outputs: dict[str, DataFrame], headers: dict[str, list[str]] | None = None, id_col: str | None = None, least: int = 1, most: int = 5) -> DataFrame:
-    """A row per broken rule for train and test; one aggregate over each output, one anti join each way for ids."""
-    found: list[tuple[str, str | None, str]] = []
-    features = {k: feature_columns(outputs[k].columns, inputs[k].columns) for k in ("train", "test")}
+def violations(spark: SparkSession, inputs: dict[str, DataFrame], outputs: dict[str, DataFrame], headers: dict[str, list[str]] | None = None, id_col: str | None = None, least: int = 1, most: int = 5, target: str | None = None) -> DataFrame:
+    """A row per broken rule for train and test; one aggregate over each output, one anti join each way for ids.
+
+    With ``target``, outputs hold the id, the target (train only) and features alone: further input columns in them are broken rules too, and needn't be kept.
+    """
+    if target:
+        own = {k: [id_col, *([target] if k == "train" else [])] for k in ("train", "test")}
+        extra = [("extra_column", c, k) for k in ("train", "test") for c in outputs[k].columns if c in inputs[k].columns and c not in own[k]]
+        inputs = {k: inputs[k].select(*own[k]) for k in ("train", "test")}
+    else:
+        extra = []
+    found: list[tuple[str, str | None, str]] = list(extra)
+    features = {k: [c for c in feature_columns(outputs[k].columns, inputs[k].columns) if ("extra_column", c, k) not in extra] for k in ("train", "test")}
     for k in ("train", "test"):
         names = (headers or {}).get(k, outputs[k].columns)
         found += [("missing_input_column", c, k) for c in inputs[k].columns if c not in outputs[k].columns]

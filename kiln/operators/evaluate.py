@@ -1,35 +1,19 @@
-"""Cross-validated scores of feature sets with Spark's gradient-boosted trees."""
+"""Cross-validated scores of feature sets with gradient-boosted symmetric trees."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import fill_missing
-from ..functions.metrics import auc, class_weights, stratified_folds
+from ..functions.metrics import auc, auc_by, stratified_folds
+from .boosting import Boosted, BoostParams, fit
+from .ordered import FEW_GROUPS
+from .select import top_features
 
-#: Rows that a task of a fit gets at least; a round is a dozen short jobs, so smaller tasks cost more to start than to run.
-ROWS_A_TASK = 20_000
-#: Folds that are fitted at once.
-FITS_AT_ONCE = 5
-
-
-@dataclass(frozen=True)
-class BoostParams:
-    """A bounded stand-in for the scorer's 300 rounds: rates and depth as there, fewer rounds."""
-
-    rounds: int = 10
-    rate: float = 0.05
-    depth: int = 6
-    seed: int = 42
+__all__ = ["BoostParams", "Score", "cv_scores", "fit_folds", "score"]
 
 
 @dataclass
@@ -40,61 +24,42 @@ class Score:
     details: dict = field(default_factory=dict)
 
 
-def prepared(train: DataFrame, features: list[str]) -> tuple[Pipeline, list[str]]:
-    text = [f for f in features if dict(train.dtypes)[f] == "string"]
-    stages = [StringIndexer(inputCols=text, outputCols=[f"{f}__code" for f in text], handleInvalid="keep")] if text else []
-    inputs = [f"{f}__code" if f in text else f for f in features]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="__x")]), inputs
-
-
-def fit_boosted(train: DataFrame, features: list[str], target: str, params: BoostParams = BoostParams()):
-    """Balanced class weights, missing values at the filler, text columns coded on the training side."""
-    weights = class_weights(train, target).select(F.col(target).alias("__class"), F.col("weight").alias("__weight"))
-    weighed = train.join(F.broadcast(weights), F.col(target) == F.col("__class"))  # a row per class
-    pipe, _ = prepared(train, features)
-    largest = max([32, *(train.agg(F.count_distinct(f)).first()[0] + 2 for f in features if dict(train.dtypes)[f] == "string")])
-    trees = GBTClassifier(labelCol=target, featuresCol="__x", weightCol="__weight", maxIter=params.rounds, stepSize=params.rate, maxDepth=params.depth, seed=params.seed, maxBins=largest)
-    return Pipeline(stages=[*pipe.getStages(), trees]).fit(weighed)
-
-
-def predict(model, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).withColumn("p", vector_to_array("probability")[1])
+def fit_folds(df: DataFrame, row_id: str, features: list[str], target: str, k: int = 5, params: BoostParams = BoostParams()) -> tuple[Boosted, DataFrame]:
+    """The models of all folds and of all rows, grown together, and ``fold, auc`` of each stratified fold by the model that hasn't seen it."""
+    rows = stratified_folds(fill_missing(df.select(row_id, target, *features), features), row_id, target, k)
+    model, held = fit(rows, row_id, features, target, "fold", k, params)
+    return model, auc_by(held, "margin", "y", ["fold"], few=k <= FEW_GROUPS).select(F.col("fold").cast("long").alias("fold"), "auc")
 
 
 def cv_scores(df: DataFrame, row_id: str, features: list[str], target: str, k: int = 5, params: BoostParams = BoostParams()) -> DataFrame:
-    """fold, auc over stratified folds. One fit per fold, several at once; each fit is Spark jobs over all its rows, and only its AUC comes back."""
-    data = stratified_folds(fill_missing(df.select(row_id, target, *features), features).withColumn(target, F.col(target).cast("double")), row_id, target, k).cache()
+    """fold, auc over stratified folds; missing values at the filler, classes balanced, text columns as ordered target codes."""
+    return fit_folds(df, row_id, features, target, k, params)[1]
 
-    def judged(f: int) -> tuple[int, float]:
-        model = fit_boosted(sized.where(F.col("fold") != f), features, target, params)
-        return f, auc(predict(model, sized.where(F.col("fold") == f)), "p", target).first()["auc"]
 
-    try:
-        sized = data.coalesce(max(1, -(-data.count() // ROWS_A_TASK)))
-        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-            # The threads carry the caller's job tags, by which a time limit cancels jobs.
-            found = [x.result() for x in [pool.submit(inheritable_thread_target(df.sparkSession)(judged), f) for f in range(k)]]
-    finally:
-        data.unpersist()
-    return df.sparkSession.createDataFrame(found, "fold long, auc double")
+def importance_report(model: Boosted, n: int = 20) -> DataFrame:
+    """feature, importance: the n most important, ties by name."""
+    rows = SparkSession.active().createDataFrame(list(model.importance().items()), "feature string, importance double")  # a row a feature
+    return top_features(rows, n=n)
 
 
 def score(train: DataFrame, test: DataFrame, labels: DataFrame, id_col: str, target: str, metric: str = "roc_auc", params: BoostParams = BoostParams()) -> Score:
-    """Fit on train, score test against its labels (a row per id, checked), with cross-validation and the 20 most important features."""
+    """Fit on train, score test against its labels (a row per id, checked), with cross-validation and the 20 most important features.
+
+    The model of all training rows and those of the folds are one fit.
+    """
     from .joins import lookup_left
 
     features = [c for c in train.columns if c not in (id_col, target)]
     text = [c for c in features if dict(train.dtypes)[c] == "string"]
     test = test.withColumns({c: F.col(c).cast("string") for c in text}) if text else test
-    judged = lookup_left(test.drop(target), labels.select(id_col, target), [id_col], unique=True).withColumn(target, F.col(target).cast("double"))
+    judged = lookup_left(test.drop(target), labels.select(id_col, target), [id_col], unique=True)
     if judged.where(F.col(target).isNull()).limit(1).count():
         raise ValueError("some test ids have no label")
-    full = fill_missing(train, features).withColumn(target, F.col(target).cast("double"))
-    model = fit_boosted(full, features, target, params)
-    value = auc(predict(model, fill_missing(judged, features)), "p", target).first()["auc"]
-    folds = cv_scores(train, id_col, features, target, params=params).agg(F.avg("auc").alias("m"), F.stddev_pop("auc").alias("s")).first()
-    weight = dict(zip(features, model.stages[-1].featureImportances.toArray().tolist(), strict=True))
-    top = dict(sorted(weight.items(), key=lambda x: -x[1])[:20])
+    model, folds = fit_folds(train, id_col, features, target, params=params)
+    # One aggregate for the test score with its rows, one for the folds with theirs.
+    value = auc(model.margin(fill_missing(judged, features)), "margin", target).first()["auc"]
+    cv = folds.agg(F.round(F.avg("auc"), 6).alias("cv_mean_auc"), F.round(F.stddev_pop("auc"), 6).alias("cv_std_auc")).first().asDict()
+    rows = train.agg(F.count(F.lit(1)).alias("train_rows")).join(F.broadcast(judged.agg(F.count(F.lit(1)).alias("test_rows")))).first().asDict()  # one row each
+    top = {r.feature: r.importance for r in importance_report(model).collect()}
     gini = 2 * value - 1
-    details = {"cv_mean_auc": round(folds.m, 6), "cv_std_auc": round(folds.s, 6), "n_features": len(features), "train_rows": train.count(), "test_rows": test.count(), "top_features": top}
-    return Score(round(value, 6), round(gini, 6), round(value if metric == "roc_auc" else gini, 6), details)
+    return Score(round(value, 6), round(gini, 6), round(value if metric == "roc_auc" else gini, 6), {**cv, "n_features": len(features), **rows, "top_features": top})

@@ -24,8 +24,8 @@ class FeatureSpec:
     where: str = "true"
 
 
-#: Lengths in days of the windows that end with the last day of a table.
-WINDOWS = (30, 90)
+#: Lengths in days of the windows that end with the last day of a table, and of the half-life of what is weighed by age.
+WINDOWS, HALF_LIFE = (30, 90), 30
 
 
 def is_value(c: str, value: str) -> str:
@@ -43,11 +43,29 @@ def value_names(prefix: str, values: list[str]) -> dict[str, str]:
     return out
 
 
+def over_time(name: str, key: str, at: str, last: object, numbers: list[str]) -> list[FeatureSpec]:
+    """How a history runs over the column ``at``: mean gap in days between its rows, days since its end, the slope of each number a day, and counts and sums in which a row
+    weighs half as much for each HALF_LIFE of its age. All are mergeable sums in the table's one aggregate; none needs the rows in order.
+    """
+    day = f"unix_date(cast(`{at}` as date))"
+    age = f"date_diff(date'{last}', cast(`{at}` as date))"
+    weight = f"pow(0.5D, {age} / {HALF_LIFE}D)"
+    out = [
+        FeatureSpec(f"{name}_gap_{at}", "agg", name, key, f"(max({day}) - min({day})) / nullif(count(`{at}`) - 1, 0)"),
+        FeatureSpec(f"{name}_recency_{at}", "agg", name, key, f"min({age})"),
+        FeatureSpec(f"{name}_decayed_count_{at}", "agg", name, key, f"coalesce(sum({weight}), 0D)"),
+    ]
+    for x in numbers:
+        out.append(FeatureSpec(f"{name}_slope_{x}_{at}", "agg", name, key, f"regr_slope(cast(`{x}` as double), cast({day} as double))"))
+        out.append(FeatureSpec(f"{name}_decayed_{x}_{at}", "agg", name, key, f"coalesce(sum(cast(`{x}` as double) * {weight}), 0D)"))
+    return out
+
+
 def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = (), values: Mapping[str, list[str]] = {}, last: Mapping[str, object] = {}) -> list[FeatureSpec]:
     """The aggregate family for a history table: count, and by type sums, means, spread, ends, distinct values; days since 1970 for dates, shares for booleans.
 
     ``values`` (``profile.common_values``) adds the share of each value of a text column, ``last`` (``profile.last_days``) counts, sums and shares
-    of the windows that end with a column's last day. All stay in one aggregate; distinct values are estimates, which need no row per column.
+    of the windows that end with a column's last day, and what ``over_time`` says. All stay in one aggregate; distinct values are estimates, which need no row per column.
     """
     numbers = [c for c, kind in df.dtypes if c != key and c not in skip and (kind in ("double", "float") or kind.startswith("decimal"))]
     out = [FeatureSpec(f"{name}_count", "agg", name, key, "count(1)")]
@@ -71,6 +89,7 @@ def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = (), valu
                 out.append(FeatureSpec(f"{name}_count_{days}d_{c}", "agg", name, key, f"count_if({within})"))
                 out.append(FeatureSpec(f"{name}_share_{days}d_{c}", "agg", name, key, f"count_if({within}) / count(1)"))
                 out += [FeatureSpec(f"{name}_sum_{x}_{days}d_{c}", "agg", name, key, f"coalesce(sum(`{x}`) filter (where {within}), 0)") for x in numbers]
+            out += over_time(name, key, c, last[c], numbers)
     return out
 
 

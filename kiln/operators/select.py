@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import FEW_GROUPS
+
 MAX_FEATURES = 5
 #: Features that forward selection tries, the best by single AUC; bins of a feature.
 SHORTLIST, BINS = 20, 16
@@ -21,7 +23,7 @@ def feature_scores(df: DataFrame, features: list[str], target: str, filler: floa
 
     each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(filler)).alias("value")) for f in features)))
     long = df.select(F.col(target).alias("y"), each.alias("e")).select("y", "e.feature", "e.value")
-    return auc_by(long, "value", "y", ["feature"])
+    return auc_by(long, "value", "y", ["feature"], few=len(features) <= FEW_GROUPS)
 
 
 def top_features(scores: DataFrame, by: str = "importance", name: str = "feature", n: int = 20) -> DataFrame:
@@ -46,18 +48,30 @@ def ranked(df: DataFrame, features: list[str], target: str, most_null: float = 0
     return [r.feature for r in feature_scores(df, usable, target).orderBy(F.desc(F.abs(F.col("auc") - 0.5)), "feature").collect()]  # a row per feature
 
 
-def choose(df: DataFrame, features: list[str], target: str, limit: int = MAX_FEATURES, redundant: float = 0.95, most_null: float = 0.99) -> list[str]:
-    """Greedy, one feature at a time: by distance of the AUC from one half, leaving out constants, near-empty ones and near copies of a better one; ties by name."""
-    scored = ranked(df, features, target, most_null)
-    usable = sorted(scored)
-    near = {frozenset((r.feature_a, r.feature_b)) for r in correlations(df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(-999.0)).alias(f) for f in usable)), usable).collect() if r["corr"] is not None and abs(r["corr"]) > redundant} if len(usable) > 1 else set()
+def spread(scored: list[str], near: Callable[[list[str]], set[frozenset[str]]], limit: int = MAX_FEATURES, block: int = SHORTLIST) -> list[str]:
+    """The first ``limit`` of ``scored`` (best first), without near copies of a better one. ``near`` gives the pairs of near copies among some features; it is asked block by block, as far as needed."""
     chosen: list[str] = []
-    for f in scored:
-        if len(chosen) < limit and not any(frozenset((f, c)) in near for c in chosen):
-            chosen.append(f)
+    for start in range(0, len(scored), block):
+        same = near([*chosen, *scored[start : start + block]])
+        for f in scored[start : start + block]:
+            if len(chosen) < limit and not any(frozenset((f, c)) in same for c in chosen):
+                chosen.append(f)
+        if len(chosen) == limit:
+            break
     return chosen
 
 
+def choose(df: DataFrame, features: list[str], target: str, limit: int = MAX_FEATURES, redundant: float = 0.95, most_null: float = 0.99) -> list[str]:
+    """Greedy, one feature at a time: by distance of the AUC from one half, leaving out constants, near-empty ones and near copies of a better one; ties by name."""
+
+    def near(some: list[str]) -> set[frozenset[str]]:
+        filled = df.select(*(F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(-999.0)).alias(f"c{i:04}") for i, f in enumerate(some)))
+        pairs = correlations(filled, filled.columns).collect() if len(some) > 1 else []  # a row a pair
+        return {frozenset((some[int(r.feature_a[1:])], some[int(r.feature_b[1:])])) for r in pairs if r["corr"] is not None and abs(r["corr"]) > redundant}
+
+    return spread(ranked(df, features, target, most_null), near, limit)
+
+
 def woe_codes(df: DataFrame, bins: dict[str, str], target: str, fold: str, smooth: float = 0.5) -> DataFrame:
     """``df`` with ``__w_<feature>``: the smoothed log ratio of class shares in the row's bin, from the rows of all other folds; null is a bin named "null".
 

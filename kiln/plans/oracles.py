@@ -38,6 +38,8 @@ a AS (SELECT cls, f, sum(count(*)) OVER (PARTITION BY cls ORDER BY f) AS upto FR
 n AS (SELECT *, row_number() OVER (PARTITION BY {y} ORDER BY doc_id) AS rn FROM {t}),
 folded AS (SELECT n.*, (SELECT count(*) FROM a WHERE a.cls = n.{y} AND a.upto < n.rn)::BIGINT AS fold FROM n)"""
 
+#: 52 bits of md5 over seed and id.
+HASH = "('0x' || substr(md5('{seed}|' || coalesce({id}::VARCHAR, '')), 1, 13))::BIGINT"
 PROFILE = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct, min({c})::VARCHAR AS min_value, max({c})::VARCHAR AS max_value FROM orders"
     for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -144,6 +146,11 @@ SELECT vec_id, round(sqrt(sum(x * x)), 6) AS norm, round(sqrt(sum((x - m) * (x -
     "enc_target_oof": f"""WITH {LABELLED}, f AS (SELECT lang, doc_id % 4 AS fold, sum(quality)::DOUBLE AS s, count(*) AS n FROM labelled GROUP BY 1, 2),
 e AS (SELECT lang, fold, (sum(s) OVER c - s + 10 * (sum(s) OVER () - sum(s) OVER f) / (sum(n) OVER () - sum(n) OVER f)) / (sum(n) OVER c - n + 10) AS encoded FROM f WINDOW c AS (PARTITION BY lang), f AS (PARTITION BY fold))
 SELECT doc_id, round(encoded, 6) AS encoded FROM labelled JOIN e ON e.lang = labelled.lang AND e.fold = labelled.doc_id % 4""",
+    "enc_target_ordered": f"""WITH {LABELLED}, h AS (SELECT *, {HASH.format(seed="42", id="doc_id")} AS o, (is_test = 0)::INT AS use FROM labelled),
+r AS (SELECT *, coalesce(sum(use * quality) OVER before, 0) AS s, coalesce(sum(use) OVER before, 0) AS n, sum(use * quality) OVER whole AS s_all, sum(use) OVER whole AS n_all
+  FROM h WINDOW before AS (PARTITION BY lang ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), whole AS (PARTITION BY lang))
+SELECT doc_id, lang, round(CASE WHEN use = 1 THEN (s + 0.5::DOUBLE) / (n + 1) ELSE (s_all + 0.5::DOUBLE) / (n_all + 1) END, 6) AS code FROM r""",
+    "baseline_noise": "SELECT c_custkey, " + ", ".join(f"round(sqrt(-2 * ln(({HASH.format(seed=f'{42 + i}|0', id='c_custkey')} + 0.5::DOUBLE) / 4503599627370496::DOUBLE)) * cos(({HASH.format(seed=f'{42 + i}|1', id='c_custkey')} + 0.5::DOUBLE) / 4503599627370496::DOUBLE * 2 * 3.141592653589793::DOUBLE), 6) AS ft_{i + 1}" for i in range(5)) + " FROM customer",
     "enc_woe": f"WITH {LABELLED}, {WOE.format(b='lang', y='quality', t='labelled')} SELECT lang, pos, neg, round(ln(p / q), 6) AS woe FROM w",
     "enc_rare": "SELECT CASE WHEN n >= 120 THEN lang ELSE 'other' END AS grouped, sum(n)::BIGINT AS n FROM (SELECT lang, count(*) AS n FROM documents GROUP BY 1) GROUP BY 1",
     "ev_auc": f"WITH {LABELLED}, s AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, auc FROM ({auc('labelled', c, 'quality')})" for c in ("n_chars", "n_words", "is_test")) + ") SELECT feature, round(auc, 6) AS auc FROM s",
@@ -172,4 +179,27 @@ SELECT 'id_missing', 'doc_id', 'test ' || count(*) FROM labelled WHERE is_test =
         for k in ("train", "test")
     },
     "stream_daily_counts": "SELECT ts::DATE AS day, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2",
+    "stream_sessions": """
+WITH g AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),
+s AS (SELECT *, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM g)
+SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, session""",
+    "stream_last_event": """
+SELECT event_id, user_id, (floor(epoch(ts)) - floor(epoch(lag(ts) OVER w)))::BIGINT AS gap_s, lag(event_type) OVER w AS last_type, round(lag(value) OVER w, 6) AS last_value, (lag(ts) OVER w IS NOT NULL)::BIGINT AS n_before
+FROM events WHERE ts <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 DAY WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "stream_click_purchase": """
+SELECT a.user_id, a.event_id AS first_id, b.event_id AS second_id, round((epoch_us(b.ts) - epoch_us(a.ts)) / 1000000::DOUBLE, 3) AS wait_s
+FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'purchase' AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 3600 SECOND""",
+    "agg_over_time": """
+WITH o AS (SELECT o_custkey AS id, o_totalprice AS x, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) AS day, date_diff('day', o_orderdate::DATE, (SELECT max(o_orderdate)::DATE FROM orders)) AS age FROM orders)
+SELECT id, round((max(day) - min(day))::DOUBLE / nullif(count(*) - 1, 0), 4) AS orders_gap_o_orderdate, min(age)::DOUBLE AS orders_recency_o_orderdate, round(sum(pow(0.5::DOUBLE, age / 30::DOUBLE)), 4) AS orders_decayed_count_o_orderdate,
+       CASE WHEN max(day) > min(day) THEN round(regr_slope(x, day::DOUBLE), 4) END AS orders_slope_o_totalprice_o_orderdate, round(sum(x * pow(0.5::DOUBLE, age / 30::DOUBLE)), 4) AS orders_decayed_o_totalprice_o_orderdate
+FROM o GROUP BY id""",
+    "found_keys": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, '{','.join(k)}' AS key FROM (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT {','.join(k)} FROM {n})) AS m FROM {n}) WHERE n = m"
+        for n, k in (("orders", ["o_orderkey"]), ("lineitem", ["l_orderkey"]), ("lineitem", ["l_orderkey", "l_linenumber"]), ("customer", ["c_custkey"]), ("customer", ["c_name"]), ("conversations", ["conv_id", "turn"]), ("labels", ["doc_id"]))
+    ),
+    "found_links": " UNION ALL ".join(
+        f"SELECT '{c}' AS child, '{ck}' AS child_key, '{p}' AS parent, '{pk}' AS parent_key FROM (SELECT count(*) AS n FROM {c} WHERE {ck} NOT IN (SELECT {pk} FROM {p})) WHERE n = 0"
+        for c, ck, p, pk in (("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"))
+    ),
 }

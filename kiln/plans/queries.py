@@ -7,9 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import encoders, metrics
-from ..functions.columns import fill_missing, noise
+from ..functions.columns import fill_missing, noise, order_hash
 from ..operators import evaluate, joins, profile, select
-from ..operators.features import FeatureSpec, compile_features, grammar, recency
+from ..operators.features import FeatureSpec, compile_features, grammar, over_time, recency
 from ..operators.ordered import running_before
 
 
@@ -391,6 +391,27 @@ def agg_grammar(spark, d):
     return made.select("id", *(F.round(F.col(s.name).cast("double"), 2 if "_sum_" in s.name else 6).alias(s.name) for s in specs))
 
 
+def agg_over_time(spark, d):
+    """How each customer's orders run over time: gaps, recency, slopes and sums that fade with age, in one aggregate."""
+    orders = t(spark, d, "orders").drop("o_orderkey")
+    specs = over_time("orders", "o_custkey", "o_orderdate", profile.last_days(orders)["o_orderdate"], ["o_totalprice"])
+    made = compile_features(orders.select(F.col("o_custkey").alias("id")).distinct(), "id", {"orders": orders}, specs)
+    return made.select("id", *(F.round(F.col(s.name).cast("double"), 4).alias(s.name) for s in specs))
+
+
+def found_keys(spark, d):
+    """Keys of one or two columns, found by sketches and confirmed by counts."""
+    keys, _ = profile.find_keys({n: t(spark, d, n) for n in ("orders", "lineitem", "customer", "conversations", "labels")})
+    rows = [(n, ",".join(k)) for n, some in keys.items() for k in some]  # a row a key
+    return spark.createDataFrame(rows, "table_name string, key string")
+
+
+def found_links(spark, d):
+    """Joins that sketches leave and counts confirm, among tables with meaningful key names."""
+    graph = profile.join_graph({n: t(spark, d, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")})
+    return spark.createDataFrame([(a, b if isinstance(b, str) else ",".join(b), c, k if isinstance(k, str) else ",".join(k)) for a, b, c, k in graph], "child string, child_key string, parent string, parent_key string")
+
+
 def set_train_test_union(spark, d):
     rows = labelled(spark, d)
     train, test = rows.where("is_test = 0").select("doc_id", "quality", "n_chars"), rows.where("is_test = 1").select("doc_id", "n_chars")
@@ -437,7 +458,13 @@ def baseline_noise(spark, d):
 
 
 def gbt_cv_score(spark, d):
-    return evaluate.cv_scores(labelled(spark, d), "doc_id", ["n_chars", "n_words", "lang"], "quality", params=evaluate.BoostParams(rounds=30))
+    return evaluate.cv_scores(labelled(spark, d), "doc_id", ["n_chars", "n_words", "lang"], "quality")
+
+
+def enc_target_ordered(spark, d):
+    """Documents' languages as mean quality of the rows before them in a hash order; test rows get the mean over all training rows."""
+    rows = labelled(spark, d).withColumn("o", order_hash(F.col("doc_id"), 42))
+    return encoders.ordered_target(rows, "lang", "quality", "o", {"code": F.col("is_test") == 0}, 0.5).select("doc_id", "lang", r6("code", "code"))
 
 
 def score_report(spark, d):
@@ -456,15 +483,44 @@ def stream_daily_counts(spark, d):
     return out.select(F.col("day").cast("date").alias("day"), "event_type", "n", r6("total", "total"))
 
 
+def _events(spark, d):
+    from ..streaming import events as ev
+
+    return spark.readStream.schema(ev.EVENTS).option("pathGlobFilter", "events*.parquet").parquet(d)
+
+
+def stream_sessions(spark, d):
+    """Runs of a user's events without a pause of six hours, by session windows over the stream."""
+    from ..streaming import events as ev
+
+    out = ev.run_once(ev.sessions(_events(spark, d), "6 hours"))
+    return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+def stream_last_event(spark, d):
+    """Each event with its user's event before it, from keyed state; those of the last day still wait for late ones."""
+    from ..streaming import events as ev
+
+    return ev.run_once(ev.last_event_features(_events(spark, d)), "append").select("event_id", "user_id", "gap_s", "last_type", r6("last_value", "last_value"), "n_before")
+
+
+def stream_click_purchase(spark, d):
+    """Purchases at most an hour after a click of the same user, by a join of two streams."""
+    from ..streaming import events as ev
+
+    out = ev.run_once(ev.within_after(_events(spark, d).where("event_type = 'click'"), _events(spark, d).where("event_type = 'purchase'")), "append")
+    return out.select("user_id", "first_id", "second_id", F.round("wait_s", 3).alias("wait_s"))
+
+
 NAMES = [
     "flagship_feature_auc", "scan_profile", "key_candidates", "fk_inclusion", "fk_fanout", "holdout_split", "stratified_folds", "class_weights",
     "lookup_left", "lookup_nullsafe", "label_join_1to1", "ids_without_history", "ids_with_history", "asof_last_event", "range_bin_join",
     "agg_basic", "agg_dispersion", "agg_distinct", "agg_share_where", "agg_pivot_counts", "agg_two_hop", "agg_mode", "agg_rfm",
     "agg_grouping_sets", "agg_rollup", "agg_cube", "agg_time_bucket", "agg_sessions", "win_rank_in_group", "win_gap", "win_trailing_7d",
     "win_expanding_prior", "win_zscore", "win_percent_rank", "bin_quantile", "bin_width", "sc_date_parts", "sc_ratio_log", "sc_text_stats",
-    "sc_json", "sc_cross", "sc_fill_cast", "arr_norm_centroid", "enc_frequency", "enc_target_smoothed", "enc_target_oof", "enc_woe", "enc_rare",
+    "sc_json", "sc_cross", "sc_fill_cast", "arr_norm_centroid", "enc_frequency", "enc_target_smoothed", "enc_target_oof", "enc_target_ordered", "enc_woe", "enc_rare",
     "ev_auc", "ev_gini", "ev_auc_cv", "ev_iv", "ev_psi", "ev_mutual_info", "ev_corr_matrix", "ev_top_features", "ev_best_set", "ev_sets_cv", "ev_forward_set", "agg_grammar",
     "set_train_test_union", "set_id_overlap", "set_missing_ids", "contract_violations", "matrix_train", "matrix_test", "baseline_noise",
-    "gbt_cv_score", "score_report", "stream_daily_counts",
+    "gbt_cv_score", "score_report", "stream_daily_counts", "stream_sessions", "stream_last_event", "stream_click_purchase", "agg_over_time", "found_keys", "found_links",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}

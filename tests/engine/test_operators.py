@@ -249,3 +249,64 @@ def test_time_limit_cuts_jobs(spark):
     with pytest.raises(KeyError), pipeline.within(spark, 100):
         raise KeyError("own errors pass")
     assert spark.range(5).count() == 5
+
+
+def test_features_over_time(spark):
+    rows = [(1, "2024-01-01", 10.0), (1, "2024-01-11", 30.0), (1, "2024-01-31", 20.0), (2, "2024-01-31", 5.0), (3, None, 7.0)]
+    df = spark.createDataFrame(rows, "k long, d string, v double").withColumn("d", F.to_date("d"))
+    specs = features.over_time("h", "k", "d", profile.last_days(df)["d"], ["v"])
+    got = {r.k: r for r in compile_features(spark.createDataFrame([(1,), (2,), (3,)], "k long"), "k", {"h": df}, specs).collect()}
+    x, y = [0, 10, 30], [10.0, 30.0, 20.0]
+    mx, my = sum(x) / 3, sum(y) / 3
+    slope = sum((a - mx) * (b - my) for a, b in zip(x, y, strict=True)) / sum((a - mx) ** 2 for a in x)
+    assert got[1].h_gap_d == 15 and got[1].h_recency_d == 0 and abs(got[1].h_slope_v_d - slope) < 1e-9
+    assert abs(got[1].h_decayed_count_d - (0.5 + 0.5 ** (20 / 30) + 1)) < 1e-9 and abs(got[1].h_decayed_v_d - (5 + 30 * 0.5 ** (20 / 30) + 20)) < 1e-9
+    assert got[2].h_gap_d is None and got[2].h_slope_v_d is None and got[3].h_decayed_count_d == 0 and got[3].h_recency_d is None
+
+
+def test_rows_are_not_dealt_by_class_or_feature(spark):
+    df = spark.createDataFrame([(i, i % 2, float(i % 9)) for i in range(400)], "i long, y int, x double")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for plan, key in ((metrics.stratified_folds(df, "i", "y", 5), "y"), (select.feature_scores(df, ["x", "i"], "y"), "feature")):
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            dealt = [x for x in text.split("\n") if "hashpartitioning(" in x]
+            rows_by_class = [x for x in dealt if f"hashpartitioning({key}#" in x and "," not in x.partition("hashpartitioning(")[2].partition(")")[0].replace(", 4", "")]
+            assert dealt and "SortMergeJoin" not in text, text
+            assert len(rows_by_class) <= 4  # sums and cuts of a class, never its rows
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def stream_files(spark, folder, name, rows):
+    import pandas as pd
+
+    folder.mkdir(exist_ok=True)
+    made = pd.DataFrame(rows, columns=["event_id", "ts", "user_id", "event_type", "value", "props"])
+    made["ts"] = pd.to_datetime(made["ts"]).astype("datetime64[us]")
+    made.to_parquet(folder / f"{name}.parquet")
+
+
+def test_keyed_state_with_late_files_and_a_restart(spark, tmp_path):
+    one = lambda i, ts, user, kind="view", value=1.0: (i, ts, user, kind, value, None)
+    folder, state = tmp_path / "in", f"file://{tmp_path}/job"
+    stream_files(spark, folder, "events1", [one(1, "2024-01-01 00:00:00", 1), one(2, "2024-01-03 00:00:00", 1, "click", None), one(3, "2024-01-03 00:00:00", 2)])
+    stream = lambda: ev.last_event_features(ev.event_stream(spark, str(folder)))
+    first = {r.event_id: r for r in ev.run_once(stream(), "append", state).collect()}
+    assert set(first) == {1} and first[1].n_before == 0 and first[1].gap_s is None  # the others still wait
+    # In time though out of order (4), and later than a day (5).
+    stream_files(spark, folder, "events2", [one(4, "2024-01-02 12:00:00", 1, "view", 4.0), one(5, "2024-01-01 06:00:00", 1)])
+    stream_files(spark, folder, "events3", [one(6, "2024-01-09 00:00:00", 2), one(7, "2024-01-09 00:00:01", 3)])
+    got = {r.event_id: r for r in ev.run_once(stream(), "append", state).collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert (got[4].gap_s, got[4].last_type, got[4].n_before) == (36 * 3600, "view", 1)
+    assert (got[2].gap_s, got[2].last_value, got[2].last_type) == (12 * 3600, 4.0, "view") and got[3].n_before == 0
+
+
+def test_two_streams_within_an_hour(spark, tmp_path):
+    one = lambda i, ts, user, kind: (i, ts, user, kind, 1.0, None)
+    stream_files(spark, tmp_path / "in", "events1", [one(1, "2024-01-01 00:00:00", 1, "click"), one(2, "2024-01-01 01:00:00", 1, "purchase"), one(3, "2024-01-01 01:00:01", 1, "purchase"), one(4, "2024-01-01 00:30:00", 2, "purchase")])
+    side = lambda kind: ev.event_stream(spark, str(tmp_path / "in")).where(F.col("event_type") == kind)
+    assert [tuple(r) for r in ev.run_once(ev.within_after(side("click"), side("purchase")), "append").collect()] == [(1, 1, 2, 3600.0)]
