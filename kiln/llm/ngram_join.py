@@ -310,3 +310,18 @@ def ngram_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents"), k=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT rid, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                              ELSE list_transform(range(1, (len(words) - 1)::BIGINT), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS shingle FROM w),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+shared AS (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.rid <> y.rid GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+reach AS (SELECT rid, rid AS at FROM w UNION SELECT r.rid, l.b FROM reach r JOIN links l ON l.a = r.at)
+SELECT any_value(w.doc_id) AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM w LEFT JOIN n USING (rid) JOIN reach r ON r.rid = w.rid JOIN w o ON o.rid = r.at GROUP BY w.rid
+"""

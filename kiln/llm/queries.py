@@ -8,7 +8,7 @@ from .imatch import op6_imatch
 from .lexical import OP12_SQL, op12_lexical_search
 from .line_dedup import OP11_SQL, op11_line_dedup
 from .mixing import OP5_SQL, op5_mix_sources
-from .ngram_join import op4_ngram_join
+from .ngram_join import OP4_SQL, op4_ngram_join
 from .pii import op8_pii
 from .quality import op1_quality
 from .secrets import op9_secret_scan
@@ -33,6 +33,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_ngram_join": OP4_SQL,
     "op5_mix_sources": OP5_SQL,
     "op7_warc": OP7_SQL,
     "op11_line_dedup": OP11_SQL,
