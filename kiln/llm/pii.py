@@ -2,11 +2,11 @@
 
 The nodes of a document's field are its words that hold a digit or an at sign. Neighbouring nodes share a chain
 potential. Nodes with the same key (same digits, seven at least, or same lower-case letters and digits) share a skip
-potential with one of them, however far apart: the first that a base span holds, else the first. So any two mentions are at most two
-steps from each other. Sum-product messages pass over this loopy graph, damped, until none changes by more than ``TOLERANCE`` (``MAX_ROUNDS``
-at most), in blocks of edges, so temporary memory is bounded; nodes inside base spans are held at their kind. A free node whose belief in one kind reaches
-``SURE`` becomes one more span; base spans always stay. So a number that is plainly a phone number in
-one place is one also where it stands without its plus sign.
+potential with one of them, however far apart: the first that a base span holds, else the first that is valid as it stands (a card's check digit, an address's
+four numbers). So any two mentions are at most two steps from each other, and mentions without any evidence of their own don't lift one another. Sum-product messages pass over this loopy graph, damped, until none changes by more than ``TOLERANCE`` (``MAX_ROUNDS``
+at most), in blocks of edges, so temporary memory is bounded; nodes inside base spans are held at their kind. Free nodes whose belief in one kind reaches
+``SURE`` become more spans, neighbours of one kind (``+1``, ``(555``, ``123-4567``) one span together, if the whole is valid for its kind (``holds``); base spans
+always stay. So a number that is plainly a phone number in one place is one also where it stands without its plus sign.
 
 Weights are fitted in pieces on at most ``TRAIN_DOCS`` documents (those with such words whose ids hash lowest; of equal rows one), with
 the base spans as labels: a multinomial regression on the shape of a word (at most ``TRAIN_NODES`` words of a document, drawn by a hash
@@ -50,6 +50,9 @@ _local = re.compile(r"[A-Za-z0-9._%+-]+")
 _ip = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: What may stand between the words of one mention; characters of a mention, at most, that is put together.
+_between = re.compile(r"[\x20().,-]{1,3}")
+MOST_CHARS = 60
 _digit = re.compile("[0-9]")
 _mark = re.compile("[0-9@]")
 _word_end = re.compile(r"[^\x20\x09-\x0D]*")
@@ -81,11 +84,29 @@ def emails(text: str) -> list[Span]:
     return out
 
 
+def octets(text: str) -> bool:
+    """True for four numbers of at most 255."""
+    parts = text.split(".")
+    return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) < 256 for p in parts)
+
+
+def holds(kind: int, text: str) -> bool:
+    """True if ``text`` can be a whole mention of the kind."""
+    digits = "".join(filter("0123456789".__contains__, text))
+    if kind == 0:
+        return "@" in text[1:-1]
+    if kind == 1:
+        return octets(text)
+    if any(c.isalpha() for c in text):
+        return False
+    return 14 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 7 <= len(digits) <= 15
+
+
 def base_spans(text: str) -> list[Span]:
     """All base spans, by start, then kind."""
     out = emails(text) if "@" in text else []
     if _digit.search(text):
-        out += [(m.start(), 1, m.end()) for m in _ip.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) < 256 for p in m[0].split("."))]
+        out += [(m.start(), 1, m.end()) for m in _ip.finditer(text) if octets(m[0])]
         for m in _card.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 14 <= len(digits) <= 19 and luhn(digits):
@@ -122,7 +143,7 @@ def nodes(text: str) -> list[Node]:
     return out
 
 
-SHAPE = 22
+SHAPE = 27
 
 
 def shape(node: Node) -> np.ndarray:
@@ -140,6 +161,11 @@ def shape(node: Node) -> np.ndarray:
     x[19] = "(" in core
     x[20] = "@" in core and "." in core.partition("@")[2]
     x[21] = len(core) > 30
+    card = 14 <= n_digits <= 19 and not x[18]
+    x[22], x[23] = card and holds(2, core), card and not holds(2, core)
+    dotted = core.count(".") == 3 and core.replace(".", "").isdigit()
+    x[24], x[25] = dotted and octets(core), dotted and not octets(core)
+    x[26] = 10 <= n_digits <= 15 and not x[18]
     return x
 
 
@@ -155,12 +181,17 @@ def labels(found: list[Node], spans: list[Span]) -> np.ndarray:
     return out
 
 
+def valid(node: Node) -> bool:
+    """True for what a check digit or the form alone makes a mention."""
+    return holds(1, node.core) or holds(2, node.core)
+
+
 def edges(found: list[Node], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Chain edges between near neighbours, and skip edges from a key's anchor to its other nodes: each a row of two."""
+    """Chain edges between near neighbours, and skip edges from a key's anchor to its other nodes: each a row of two. A key without known or valid node has no anchor."""
     chain = [(i - 1, i) for i in range(1, len(found)) if found[i].word - found[i - 1].word <= 2]
     anchor: dict[str, int] = {}
     for i, n in enumerate(found):
-        if len(n.key) >= LEAST_KEY and (n.key not in anchor or (known[i] and not known[anchor[n.key]])):
+        if len(n.key) >= LEAST_KEY and (known[i] or valid(n)) and (n.key not in anchor or (known[i] and not known[anchor[n.key]])):
             anchor[n.key] = i
     skip = [(anchor[n.key], i) for i, n in enumerate(found) if anchor.get(n.key, i) != i]
     return np.array(chain, np.int64).reshape(-1, 2), np.array(skip, np.int64).reshape(-1, 2)
@@ -219,10 +250,49 @@ def tag(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
     found = nodes(text) if field else []
     if not found:
         return base, base
-    known = labels(found, base)
+    return base, sorted([*base, *added(text, found, labels(found, base), field)])
+
+
+def added(text: str, found: list[Node], known: np.ndarray, field: Field) -> list[Span]:
+    """The spans of free nodes: of each run of neighbours that are surely of one kind, the longest valid parts from the left."""
     p = field.beliefs(found, known)
-    extra = [(n.start, int(k) - 1, n.end) for n, k, q, y in zip(found, p.argmax(1), p.max(1), known, strict=True) if y == 0 and k > 0 and q >= SURE]
-    return base, sorted([*base, *extra])
+    kinds = np.where((known == 0) & (p.max(1) >= SURE), p.argmax(1), 0)
+    out: list[Span] = []
+    i = 0
+    while i < len(found):
+        last = None
+        if kind := int(kinds[i]):
+            j = i
+            while True:
+                piece = text[found[i].start : found[j].end]
+                if holds(kind - 1, piece):
+                    last = j
+                j += 1
+                if j == len(found) or kinds[j] != kind or len(piece) > MOST_CHARS or not _between.fullmatch(text, found[j - 1].end, found[j].start):
+                    break
+        if last is not None:
+            out.append((found[i].start, kind - 1, found[last].end))
+        i = (i if last is None else last) + 1
+    return out
+
+
+def hidden(text: str, field: Field) -> tuple[int, int, int, int]:
+    """How well the field finds what it isn't shown: every other base span whose key stands in another one is hidden. (hidden, found again, added, of those hidden or within one)."""
+    base = base_spans(text)
+    found = nodes(text)
+    key = {s: tuple(n.key for n in found if n.start < s[2] and n.end > s[0]) for s in base}
+    seen: dict[tuple, int] = {}
+    away: list[Span] = []
+    for s in base:
+        seen[key[s]] = seen.get(key[s], 0) + 1
+        if seen[key[s]] % 2 == 0:
+            away.append(s)
+    if not away:
+        return 0, 0, 0, 0
+    got = added(text, found, labels(found, [s for s in base if s not in away]), field)
+    meets = lambda a, b: a[1] == b[1] and a[0] < b[2] and b[0] < a[2]
+    free = [g for g in got if not any(meets(g, s) for s in base if s not in away)]
+    return len(away), sum(any(meets(s, g) for g in free) for s in away), len(free), sum(any(meets(g, s) for s in away) for g in free)
 
 
 def fit_field(x: np.ndarray, y: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> Field:
