@@ -19,7 +19,7 @@ from ..operators.joins import lookup_left
 from ..operators.profile import common_values, join_graph, key_check, last_days
 from ..operators.search import PAIR_FEATURES, Sample, SetScores, auc_bounds, best_features, distance, search_sets
 from ..operators.select import SHORTLIST, spread
-from ..sources.catalog import TableCatalog, descriptions, join_hints
+from ..sources.catalog import TableCatalog, descriptions, join_hints, prose_hints
 from ..sources.csv import write_csv
 
 
@@ -105,7 +105,8 @@ def history_tables(catalog: TableCatalog, id_col: str) -> dict[str, DataFrame]:
         return found
     ids = catalog["train"].select(id_col).union(catalog["test"].select(id_col)).distinct()
     columns = {n: df.columns for n, df in sides.items()} | {"train": [id_col], "test": [id_col]}
-    said = {("__ids" if a in ("train", "test") else a, b, "__ids" if c in ("train", "test") else c, k) for a, b, c, k in join_hints(descriptions(catalog.readme(), list(columns)), columns)}
+    text = catalog.readme()
+    said = {("__ids" if a in ("train", "test") else a, b, "__ids" if c in ("train", "test") else c, k) for a, b, c, k in {*join_hints(descriptions(text, list(columns)), columns), *(link for link, _ in prose_hints(text, columns))}}
     links = [(t, _names(c), p, _names(k)) for t, c, p, k in join_graph({**sides, "__ids": ids}, hints=said)]
     said = {(t, (c,), p, (k,)) for t, c, p, k in said}
     links = [x for x in links if x in said or _meant(x[1], x[3])]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tomllib
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,43 @@ def join_hints(described: list[tuple[str, str | None, str]], columns: dict[str,
     return {h for h in known if h[0] != h[2] and h[3] in columns.get(h[2], [])}
 
 
+def _terms(text: str) -> list[str]:
+    """Words of a name or sentence, lower-cased, without a plural's end; ``userId`` and ``user_id`` are two words."""
+    parts = re.findall(r"[^\W\d_]+|\d+", re.sub(r"(?<=[^\W\d_A-Z])(?=[A-Z])", " ", text))
+    return [w[:-1] if len(w) > 3 and w.endswith("s") else w for w in map(str.lower, parts)]
+
+
+def prose_hints(text: str, columns: dict[str, list[str]], most: int = 20) -> list[tuple[tuple[str, str, str, str], float]]:
+    """Joins that free prose speaks of, as ((child, child column, parent, parent column), weight), the likeliest first; values must confirm them.
+
+    A sentence counts for the tables and columns whose names it holds, as written or as their words; one without a table goes on about the last one named.
+    A column of one table beside another table, or beside a column of it, is a candidate. Rare names weigh more, names as written twice; where the
+    other column isn't named, each of its table's is tried at half the weight.
+    """
+    names = {*columns, *(c for some in columns.values() for c in some)}
+    seen = Counter(t for n in names for t in set(_terms(n)))
+    rare = {n: sum(math.log(1 + len(names) / seen[t]) for t in set(_terms(n))) for n in names}
+    found: dict[tuple[str, str, str, str], float] = {}
+    at = None
+    for sentence in re.split(r"(?<=[.!?;])\s+|\n+", text):
+        written, words = {w.lower() for w in re.findall(r"\w+", sentence)}, set(_terms(sentence))
+        hit = {n: rare[n] * (2 if n.lower() in written else 1) for n in names if n.lower() in written or (_terms(n) and set(_terms(n)) <= words)}
+        here = [t for t in columns if t in hit]
+        about = list(dict.fromkeys([*here, *([at] if at else [])]))
+        for child in about:
+            for c in (c for c in columns[child] if c in hit):
+                for parent in columns:
+                    keys = [k for k in columns[parent] if k in hit]
+                    if parent == child or not (parent in here or keys and parent in about):
+                        continue
+                    for k in keys or columns[parent]:
+                        weight = hit[c] + hit.get(parent, 0.0) + (hit[k] if keys else 0.0)
+                        link = (child, c, parent, k)
+                        found[link] = max(found.get(link, 0.0), weight if keys else weight / 2)
+        at = here[0] if here else at
+    return sorted(found.items(), key=lambda x: (-x[1], x[0]))[:most]
+
+
 def dependencies(text: str) -> list[str]:
     """The lower-cased dependency list of a project file."""
     found = tomllib.loads(text).get("project", {}).get("dependencies", [])

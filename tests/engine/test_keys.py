@@ -9,6 +9,7 @@ from kiln.operators import profile
 from kiln.operators.boosting import BoostParams
 from kiln.operators.profile import find_keys, inclusion, join_graph, key_check, sketches
 from kiln.plans import pipeline
+from kiln.sources import catalog
 
 NAMES = "region nation customer supplier part orders lineitem events labels documents conversations".split()
 
@@ -92,3 +93,28 @@ def test_run_joins_by_two_columns(spark, tmp_path):
     assert set(found) == {"visits", "weather"} and {"cid", "w_rain"} <= set(found["weather"].columns)
     chosen = pipeline.run(spark, str(data), str(tmp_path / "out"), pipeline.TaskSpec("cid", "y", judge=BoostParams(rounds=3, depth=2)))
     assert any("w_rain" in c for c in chosen)
+
+
+PROSE = """We want to know who leaves. The sample is in train, and cid is the number of a client.
+Clicks were logged by the site. Its field who is the client, the same number as cid in train!
+There are also shops. Every click happened in one of the shops; the place of a click is the code of a shop."""
+
+
+def test_prose_names_joins(spark, tmp_path):
+    columns = {"train": ["cid"], "clicks": ["who", "place", "amount"], "shops": ["code", "rent"]}
+    assert catalog.join_hints(catalog.descriptions(PROSE, list(columns)), columns) == set()
+    hints = [h for h, _ in catalog.prose_hints(PROSE, columns)]
+    assert ("clicks", "who", "train", "cid") in hints[:4] and ("clicks", "place", "shops", "code") in hints[:4]
+    assert catalog.prose_hints("", columns) == [] and catalog.prose_hints("Nothing of note.", columns) == []
+    (tmp_path / "train.csv").write_text("cid;y\n" + "".join(f"{i};{i % 2}\n" for i in range(20)))
+    (tmp_path / "test.csv").write_text("cid\n" + "".join(f"{i}\n" for i in range(20, 30)))
+    (tmp_path / "clicks.csv").write_text("who;place;amount\n" + "".join(f"{i % 30};{100 + i % 4};{i}\n" for i in range(90)))
+    (tmp_path / "shops.csv").write_text("code;rent\n" + "".join(f"{100 + i};{i * 1.5}\n" for i in range(4)))
+    assert pipeline.history_tables(catalog.TableCatalog(spark, str(tmp_path)), "cid") == {}
+    (tmp_path / "readme.txt").write_text(PROSE)
+    found = pipeline.history_tables(catalog.TableCatalog(spark, str(tmp_path)), "cid")
+    assert set(found) == {"clicks", "shops"} and found["clicks"].where("cid = 3").count() == 3 and "rent" in found["shops"].columns
+    # A hint that values refute is no join.
+    (tmp_path / "readme.txt").write_text("In clicks the amount is the cid of train.")
+    assert ("clicks", "amount", "train", "cid") in [h for h, _ in catalog.prose_hints("In clicks the amount is the cid of train.", columns)]
+    assert pipeline.history_tables(catalog.TableCatalog(spark, str(tmp_path)), "cid") == {}
