@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,16 @@ def value_names(prefix: str, values: list[str]) -> dict[str, str]:
     return out
 
 
+#: Numbers of a table whose ratios are made, the first ones.
+RATIO_COLUMNS = 6
+
+
+def ratios(name: str, family: str, key: str, numbers: list[str]) -> list[FeatureSpec]:
+    """The ratio of every two numbers: of their sums over a history, of the values themselves elsewhere; null where the second is zero."""
+    total = (lambda c: f"sum(cast(`{c}` as double))") if family == "agg" else (lambda c: f"cast(`{c}` as double)")
+    return [FeatureSpec(f"{name}_ratio_{x}_{y}", family, name, key, f"{total(x)} / nullif({total(y)}, 0D)") for x, y in combinations(numbers[:RATIO_COLUMNS], 2)]
+
+
 def over_time(name: str, key: str, at: str, last: object, numbers: list[str]) -> list[FeatureSpec]:
     """How a history runs over the column ``at``: mean gap in days between its rows, days since its end, the slope of each number a day, and counts and sums in which a row
     weighs half as much for each HALF_LIFE of its age. All are mergeable sums in the table's one aggregate; none needs the rows in order.
@@ -90,7 +101,7 @@ def grammar(name: str, df: DataFrame, key: str, skip: tuple[str, ...] = (), valu
                 out.append(FeatureSpec(f"{name}_share_{days}d_{c}", "agg", name, key, f"count_if({within}) / count(1)"))
                 out += [FeatureSpec(f"{name}_sum_{x}_{days}d_{c}", "agg", name, key, f"coalesce(sum(`{x}`) filter (where {within}), 0)") for x in numbers]
             out += over_time(name, key, c, last[c], numbers)
-    return out
+    return out + ratios(name, "agg", key, numbers)
 
 
 def column_specs(name: str, family: str, df: DataFrame, key: str, skip: tuple[str, ...] = (), values: Mapping[str, list[str]] = {}) -> list[FeatureSpec]:
@@ -107,7 +118,7 @@ def column_specs(name: str, family: str, df: DataFrame, key: str, skip: tuple[st
             out.append(FeatureSpec(f"{name}_{c}", family, name, key, f"unix_date(cast(`{c}` as date))"))
         else:
             out += [FeatureSpec(n, family, name, key, is_value(c, v)) for v, n in value_names(f"{name}_{c}", values.get(c, [])).items()]
-    return out
+    return out + ratios(name, family, key, [c for c, kind in df.dtypes if c != key and c not in skip and (kind in ("double", "float") or kind.startswith("decimal"))])
 
 
 def compile_features(ids: DataFrame, id_col: str, tables: dict[str, DataFrame], specs: list[FeatureSpec]) -> DataFrame:

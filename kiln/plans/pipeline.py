@@ -226,6 +226,11 @@ def run_recorded(spark: SparkSession, data_dir: str, out_dir: str, spec: TaskSpe
     with within(spark, spec.budget_s * spec.search_share):
         catalog = TableCatalog(spark, data_dir)
         train, test = catalog["train"], catalog["test"]
+        if spec.target_col not in train.columns:
+            known = [n for n in catalog if n not in ("train", "test", "readme") and {spec.id_col, spec.target_col} <= set(catalog[n].columns)]
+            if not known:
+                raise ValueError(f"no table has {spec.id_col} and {spec.target_col}")
+            train = ensure_target(train, catalog[known[0]], spec)
         extra = [c for c in dict.fromkeys([*train.columns, *test.columns]) if c not in (spec.id_col, spec.target_col)]
         if spec.strict and extra:
             raise ValueError(f"columns beside id and target: {extra}")

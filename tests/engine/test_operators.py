@@ -264,6 +264,14 @@ def test_features_over_time(spark):
     assert got[2].h_gap_d is None and got[2].h_slope_v_d is None and got[3].h_decayed_count_d == 0 and got[3].h_recency_d is None
 
 
+def test_ratios(spark):
+    df = spark.createDataFrame([(1, 2.0, 4.0), (1, 4.0, 8.0), (2, 1.0, 0.0)], "k long, a double, b double")
+    ids = spark.createDataFrame([(1,), (2,)], "k long")
+    got = {r.k: r.h_ratio_a_b for r in compile_features(ids, "k", {"h": df}, features.ratios("h", "agg", "k", ["a", "b"])).collect()}
+    assert got == {1: 0.5, 2: None} and "o_ratio_a_b" in {s.name for s in features.column_specs("o", "own", df, "k")}
+    assert len(features.ratios("h", "agg", "k", list("abcdefgh"))) == 15
+
+
 def test_rows_are_not_dealt_by_class_or_feature(spark):
     df = spark.createDataFrame([(i, i % 2, float(i % 9)) for i in range(400)], "i long, y int, x double")
     held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",)}

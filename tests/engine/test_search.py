@@ -119,6 +119,18 @@ def test_exact_columns_and_record(spark, tmp_path):
         pipeline.run(spark, str(data), str(out), pipeline.TaskSpec("cid", "bought", strict=True))
 
 
+def test_target_from_a_table_of_its_own(spark, tmp_path):
+    data, out = folder(tmp_path)
+    whole = (data / "train.csv").read_text()
+    (data / "labels.csv").write_text(whole)
+    (data / "train.csv").write_text("\n".join(x.partition(";")[0] for x in whole.split("\n")))
+    got = pipeline.run_recorded(spark, str(data), str(out), pipeline.TaskSpec("cid", "bought", judge=BoostParams(rounds=2, depth=2)))
+    assert (out / "train.csv").read_text().startswith("cid,bought," + ",".join(got.chosen)) and not any("bought" in c for c in got.chosen)
+    (data / "labels.csv").unlink()
+    with pytest.raises(ValueError, match="no table has cid and bought"):
+        pipeline.run(spark, str(data), str(out), pipeline.TaskSpec("cid", "bought"))
+
+
 def test_late_search_keeps_what_it_has(spark, tmp_path, monkeypatch):
     data, out = folder(tmp_path)
     monkeypatch.setattr(pipeline, "best_features", lambda *a: time.sleep(60))
