@@ -1,11 +1,11 @@
 """I-Match document fingerprints, in DataFrame operations only.
 
 A term's document frequency is counted over the whole corpus. The lexicon keeps the terms whose inverse document
-frequency lies in a band. 16 randomised lexicons keep a term with a fixed chance, from one in 4 to
-one in 256, by a hash of term and subset. Per document and subset, the distinct kept terms are sorted and hashed; the
-fingerprint is these hashes, 16 hex digits each (or dashes where no term is kept), joined by points. Sparse subsets serve
-long texts and dense ones short texts. The likeness of two fingerprints is the share of equal hashes among the
-subsets that kept a term in either.
+frequency lies in a band. 16 randomised lexicons come in levels: by a hash of term and subset, level l of a subset keeps one term in 2**l, and the
+levels of a subset are nested. A document is printed at the level at which a subset keeps about one of its terms (``LOAD`` to twice as many), and at the next one: so
+a replaced part of any text, short or long, changes some subsets and leaves others. Per subset, the distinct kept terms are sorted and hashed; the
+fingerprint is the level and the hashes of both levels, 16 hex digits each (or dashes where no term is kept), joined by points. The likeness of two
+fingerprints is the share of equal hashes among the subsets that kept a term in either, at the levels that both have; none in common is 0.
 
 The lexicon's size is bounded at any corpus size: a term in it lies in at least the share ``MIN_SHARE`` of
 documents, so there are at most (mean distinct terms of a document) / MIN_SHARE of them. It is broadcast only while that bound
@@ -28,8 +28,8 @@ from .common import drop, shared_dir, stored, table
 
 MIN_SHARE = 0.002
 MAX_SHARE = 0.10
-#: One in so many terms is in a subset: a rate for each of the subsets, 16 at most.
-RATES = (4, 4, 16, 16, 16, 16, 64, 64, 64, 64, 64, 64, 256, 256, 256, 256)
+#: Subsets, at most 16; terms that a subset of the first level keeps on average, at least; the highest level.
+SUBSETS, LOAD, MAX_LEVEL = 16, 0.75, 14
 MAX_BROADCAST_TERMS = 2_000_000
 NO_TERM = "-" * 16
 #: Rows that an order range holds on average.
@@ -59,13 +59,20 @@ def bounded(small: DataFrame, limit: int = MAX_BROADCAST_TERMS) -> DataFrame:
     return F.broadcast(small) if small.count() <= limit else small
 
 
-def subset_mask() -> Column:
-    """Bit k tells whether term ``t`` is in subset k."""
-    bit = lambda k: F.when(F.pmod(F.xxhash64("t", F.lit(k)), F.lit(RATES[k])) == 0, F.lit(1 << k)).otherwise(F.lit(0))
-    mask = bit(0)
-    for k in range(1, len(RATES)):
-        mask = mask.bitwiseOR(bit(k))
-    return mask.cast("long")
+def term_levels() -> Column:
+    """For term ``t`` the highest level at which each subset keeps it, four bits a subset."""
+    # The lowest bits of a hash that are zero, up to 15 of them: nested levels, each half of the one before.
+    zeros = lambda h: sum((F.when(F.pmod(h, F.lit(1 << i)) == 0, F.lit(1)).otherwise(F.lit(0)) for i in range(1, 16)), F.lit(0))
+    each = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.call_function("shiftleft", once(F.xxhash64("t", k), zeros).cast("long"), 4 * k))
+    return F.aggregate(each, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(x))
+
+
+def top_level(levels: Column) -> Column:
+    return F.array_max(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: nibble(levels, k)))
+
+
+def nibble(levels: Column, k: Column) -> Column:
+    return F.call_function("shiftright", levels, 4 * k).bitwiseAND(F.lit(15)).cast("int")
 
 
 def once(value: Column, use) -> Column:
@@ -74,33 +81,54 @@ def once(value: Column, use) -> Column:
 
 
 def fingerprint(kept: Column, text_hash: Column) -> Column:
-    """Of the sorted marks of the document's lexicon terms (48 bits of hash, 16 of subsets), or of the text's hash where there is none."""
-    subsets = F.array(*(F.lit(k) for k in range(len(RATES))))
+    """Of the sorted marks (t, levels, top) of the document's lexicon terms, or of the text's hash where there is none."""
+    subsets = F.array(*(F.lit(k) for k in range(SUBSETS)))
 
-    def one(k: Column) -> Column:
-        own = F.filter(kept, lambda m: F.getbit(m, k) == 1)
-        return once(own, lambda o: F.when(F.size(o) > 0, F.lpad(F.lower(F.hex(F.xxhash64(o, k))), 16, "0")).otherwise(F.lit(NO_TERM)))
+    def one(marks: Column, level: Column, k: Column) -> Column:
+        own = F.filter(marks, lambda m: nibble(m["levels"], k) >= level)
+        return once(F.transform(own, lambda m: m["t"]), lambda o: F.when(F.size(o) > 0, F.lpad(F.lower(F.hex(F.xxhash64(o, k, level))), 16, "0")).otherwise(F.lit(NO_TERM)))
 
-    alone = F.transform(subsets, lambda k: F.substring(F.sha2(F.concat_ws(":", text_hash.cast("string"), k.cast("string")), 256), 1, 16))
-    return once(F.transform(subsets, one), lambda h: F.array_join(F.when(F.forall(h, lambda x: x == NO_TERM), alone).otherwise(h), "."))
+    def at(level: Column) -> Column:
+        # Few terms reach the level in any subset: the subsets look at those alone.
+        both = F.transform(F.array(level, level + 1), lambda l: once(F.filter(kept, lambda m: m["top"] >= l), lambda marks: F.transform(subsets, lambda k: one(marks, l, k))))
+        return F.concat_ws(".", F.lower(F.hex(level)), F.array_join(F.flatten(both), "."))
+
+    alone = F.concat(F.lit("x."), F.sha2(text_hash.cast("string"), 256))
+    level = F.least(F.lit(MAX_LEVEL), F.floor(F.log2(F.size(kept) / LOAD))).cast("int")
+    return F.when(F.size(kept) > 0, once(level, at)).otherwise(alone)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    pairs = F.zip_with(F.split(a, r"\."), F.split(b, r"\."), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    seen = F.filter(pairs, lambda p: (p["x"] != NO_TERM) | (p["y"] != NO_TERM))
-    share = once(seen, lambda s: F.when(F.size(s) > 0, F.size(F.filter(s, lambda p: p["x"] == p["y"])) / F.size(s)))
-    return F.coalesce(share, F.when(a == b, 1.0).otherwise(0.0))
+    parts = lambda x, start: F.slice(x, start, SUBSETS)
+
+    def alike(x: Column, y: Column) -> Column:
+        pairs = F.filter(F.zip_with(x, y, lambda u, v: F.struct(u.alias("u"), v.alias("v"))), lambda p: (p["u"] != NO_TERM) | (p["v"] != NO_TERM))
+        return once(pairs, lambda s: F.when(F.size(s) > 0, F.size(F.filter(s, lambda p: p["u"] == p["v"])) / F.size(s)).otherwise(0.0))
+
+    def compared(both: Column) -> Column:
+        x, y = both["x"], both["y"]
+        apart = F.conv(y[0], 16, 10).cast("int") - F.conv(x[0], 16, 10).cast("int")
+        first, second = 2, 2 + SUBSETS
+        return (
+            F.when(apart == 0, alike(F.slice(x, first, 2 * SUBSETS), F.slice(y, first, 2 * SUBSETS)))
+            .when(apart == 1, alike(parts(x, second), parts(y, first)))
+            .when(apart == -1, alike(parts(x, first), parts(y, second)))
+            .otherwise(0.0)
+        )
+
+    split = once(F.struct(F.split(a, r"\.").alias("x"), F.split(b, r"\.").alias("y")), compared)
+    return F.when(a == b, 1.0).when(a.startswith("x") | b.startswith("x"), 0.0).otherwise(split)
 
 
 def fingerprints(texts: DataFrame, lex: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``keys`` (which must tell rows apart) and ``fingerprint`` of each row of ``texts``."""
     body = F.coalesce(F.col(text), F.lit(""))
     each = exploded_terms(texts.select(*keys, F.xxhash64(body).alias("text_hash"), body.alias("text")).withColumn("text", F.concat("text", F.lit(" ."))))
-    marks = lex.withColumn("mask", subset_mask()).where("mask > 0").select("t", F.col("t").bitwiseAND(F.lit(-65536)).bitwiseOR(F.col("mask")).alias("mark"))
-    # Every text ends in an empty word, whose null term the zero stands for: it finds a mark of no subset, so texts without lexicon terms stay.
-    marks = marks.union(lex.sparkSession.range(1).select("id", "id"))
+    marks = lex.withColumn("levels", term_levels()).select("t", F.struct("t", "levels", top_level(F.col("levels")).alias("top")).alias("mark"))
+    # Every text ends in an empty word, whose null term the zero stands for: it finds a mark below all levels, so texts without lexicon terms stay.
+    marks = marks.union(lex.sparkSession.range(1).select("id", F.struct(F.col("id").alias("t"), F.col("id").alias("levels"), F.lit(-1).alias("top"))))
     kept = each.withColumn("t", F.coalesce("t", F.lit(0))).join(bounded(marks), "t")
-    gathered = kept.groupBy(*keys, "text_hash").agg(F.sort_array(F.filter(F.collect_list("mark"), lambda m: m != 0)).alias("kept"))
+    gathered = kept.groupBy(*keys, "text_hash").agg(F.sort_array(F.filter(F.collect_list("mark"), lambda m: m["top"] >= 0)).alias("kept"))
     return gathered.select(*keys, fingerprint(F.col("kept"), F.col("text_hash")).alias("fingerprint"))
 
 

@@ -1,6 +1,7 @@
 """I-Match rows against a brute-force version of the edit, the order and the band."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -22,29 +23,36 @@ def words(text):
     return {w for w in re.split(r"[^\w]|_", text.lower()) if len(w) > 1}
 
 
+def level_of(t, k):
+    h = xx(k.to_bytes(4, "little"), xx(t.to_bytes(8, "little")))
+    return next((i for i in range(15) if h >> i & 1), 15)
+
+
 def plain_fingerprint(text, lexicon):
-    kept = []
-    for w in sorted(words(text) & lexicon):
-        t = xx(w.encode())
-        mask = sum(1 << k for k, rate in enumerate(imatch.RATES) if signed(xx(k.to_bytes(4, "little"), xx(t.to_bytes(8, "little")))) % rate == 0)
-        if mask:
-            kept.append(signed(t & ~65535 | mask))
-    kept.sort()
-    parts = []
-    for k in range(len(imatch.RATES)):
-        seed = 42
-        own = [m for m in kept if m >> k & 1]
-        for m in own:
-            seed = xx(m.to_bytes(8, "little", signed=True), seed)
-        parts.append(f"{xx(k.to_bytes(4, 'little'), seed):016x}" if own else imatch.NO_TERM)
-    if set(parts) == {imatch.NO_TERM}:
-        parts = [hashlib.sha256(f"{signed(xx(text.encode()))}:{k}".encode()).hexdigest()[:16] for k in range(len(imatch.RATES))]
+    kept = sorted(signed(xx(w.encode())) for w in words(text) & lexicon)
+    if not kept:
+        return "x." + hashlib.sha256(str(signed(xx(text.encode()))).encode()).hexdigest()
+    level = min(imatch.MAX_LEVEL, math.floor(math.log2(len(kept) / imatch.LOAD)))
+    parts = [f"{level:x}"]
+    for now in (level, level + 1):
+        for k in range(imatch.SUBSETS):
+            own = [t for t in kept if level_of(t % 2**64, k) >= now]
+            seed = 42
+            for t in own:
+                seed = xx(t.to_bytes(8, "little", signed=True), seed)
+            parts.append(f"{xx(now.to_bytes(4, 'little'), xx(k.to_bytes(4, 'little'), seed)):016x}" if own else imatch.NO_TERM)
     return ".".join(parts)
 
 
 def plain_likeness(a, b):
-    pairs = [(x, y) for x, y in zip(a.split("."), b.split("."), strict=True) if (x, y) != (imatch.NO_TERM, imatch.NO_TERM)]
-    return sum(x == y for x, y in pairs) / len(pairs)
+    if a == b:
+        return 1.0
+    if "x" in a[0] + b[0]:
+        return 0.0
+    x, y = a.split("."), b.split(".")
+    levels = [{int(p[0], 16) + i: p[1 + i * imatch.SUBSETS : 1 + (i + 1) * imatch.SUBSETS] for i in range(2)} for p in (x, y)]
+    pairs = [(u, v) for l in set(levels[0]) & set(levels[1]) for u, v in zip(levels[0][l], levels[1][l], strict=True) if (u, v) != (imatch.NO_TERM, imatch.NO_TERM)]
+    return sum(u == v for u, v in pairs) / len(pairs) if pairs else 0.0
 
 
 def test_rows(spark, tmp_path, monkeypatch):
@@ -83,13 +91,24 @@ def test_band(spark):
 
 
 def test_likeness_and_empty(spark):
-    a, n = "0" * 16, imatch.NO_TERM
-    rows = spark.createDataFrame([(f"{a}.{n}", f"{a}.{n}"), (f"{a}.{n}", f"{n}.{a}"), (f"{n}.{n}", f"{n}.{n}")], "x string, y string")
-    assert [r[0] for r in rows.select(imatch.likeness(imatch.F.col("x"), imatch.F.col("y"))).collect()] == [1.0, 0.0, 1.0]
+    a, b, n = "0" * 16, "1" * 16, imatch.NO_TERM
+    fill = lambda level, first, second: ".".join([level, first, *[n] * (imatch.SUBSETS - 1), second, *[n] * (imatch.SUBSETS - 1)])
+    rows = [(fill("1", a, n), fill("1", a, n), 1.0), (fill("1", a, b), fill("1", a, a), 0.5), (fill("1", b, a), fill("2", a, n), 1.0), (fill("2", a, n), fill("1", b, a), 1.0), (fill("2", a, n), fill("1", a, b), 0.0), (fill("1", a, n), fill("3", a, n), 0.0), (f"x.{a}", f"x.{a}", 1.0), (f"x.{a}", f"x.{b}", 0.0), (f"x.{a}", fill("0", a, n), 0.0), (fill("e", a, n), fill("d", n, a), 1.0)]
+    df = spark.createDataFrame(rows, "x string, y string, want double")
+    assert all(r.got == r.want == plain_likeness(r.x, r.y) for r in df.select("*", imatch.likeness(imatch.F.col("x"), imatch.F.col("y")).alias("got")).collect())
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert imatch.with_next(empty).count() == 0 and re.fullmatch("-+", n)
 
 
+def test_a_replaced_third_leaves_likeness(spark, tmp_path):
+    rng = random.Random(4)
+    vocab = [f"t{chr(97 + i % 26)}{i}" for i in range(30_000)]
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(int(10 ** rng.uniform(1.5, 3.6))))) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = imatch.op6_imatch(spark, str(tmp_path)).collect()
+    assert sum(r.near_edited == 0 for r in got) < 0.03 * len(got) and sum(r.near_edited > r.near_next for r in got) > 0.95 * len(got)
+
+
 def test_order_with_hot_and_null_ids(spark, monkeypatch):
     monkeypatch.setattr(imatch, "ROWS_A_RANGE", 10)
     rows = [(i, f"t{i}") for i in range(-50, 100)] + [(7, f"hot {i}") for i in range(150)] + [(None, f"none {i}") for i in range(80)] + [(2**63 - 1, "top"), (-(2**63), "bottom"), (30, None)]
