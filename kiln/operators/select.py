@@ -12,6 +12,8 @@ from .ordered import FEW_GROUPS
 MAX_FEATURES = 5
 #: Features that forward selection tries, the best by single AUC; bins of a feature.
 SHORTLIST, BINS = 20, 16
+#: Codes of all features, bins and folds that are broadcast, at most.
+MAX_CODES = 100_000
 
 
 def feature_scores(df: DataFrame, features: list[str], target: str, filler: float = -999.0) -> DataFrame:
@@ -75,7 +77,7 @@ def choose(df: DataFrame, features: list[str], target: str, limit: int = MAX_FEA
 def woe_codes(df: DataFrame, bins: dict[str, str], target: str, fold: str, smooth: float = 0.5) -> DataFrame:
     """``df`` with ``__w_<feature>``: the smoothed log ratio of class shares in the row's bin, from the rows of all other folds; null is a bin named "null".
 
-    ``bins`` names the bin column of each feature. One aggregate counts (feature, bin, fold); its few rows become one row of maps, which is broadcast.
+    ``bins`` names the bin column of each feature. One aggregate counts (feature, bin, fold). Up to MAX_CODES of these are broadcast; more (of text columns with many values) are joined by a shuffle.
     """
     each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f"`{b}`").cast("string"), F.lit("null")).alias("bin")) for f, b in bins.items())))
     y = F.col(target).cast("double")
@@ -86,12 +88,14 @@ def woe_codes(df: DataFrame, bins: dict[str, str], target: str, fold: str, smoot
     facts = counts.join(over, ["feature", "bin"]).join(folds, ["feature", "fold"]).join(total, "feature")
     p = (F.col("bin_pos") - F.col("pos") + smooth) / (F.col("all_pos") - F.col("fold_pos") + smooth)
     q = (F.col("bin_neg") - F.col("neg") + smooth) / (F.col("all_neg") - F.col("fold_neg") + smooth)
-    coded = facts.select("feature", F.struct(F.concat_ws("|", "bin", "fold").alias("at"), F.log(p / q).alias("woe")).alias("code"))
-    maps = coded.agg(*(F.map_from_entries(F.collect_list(F.when(F.col("feature") == f, F.col("code")))).alias(f"__m_{f}") for f in bins))
+    coded = facts.select("feature", F.concat_ws("|", "bin", "fold").alias("at"), F.log(p / q).alias("woe"))
     key = lambda b: F.concat_ws("|", F.coalesce(F.col(f"`{b}`").cast("string"), F.lit("null")), F.col(fold).cast("string"))
-    # One row: features times bins times folds.
-    joined = df.join(F.broadcast(maps))
-    return joined.withColumns({f"__w_{f}": F.col(f"`__m_{f}`")[key(b)] for f, b in bins.items()}).drop(*(f"__m_{f}" for f in bins))
+    few = coded.limit(MAX_CODES + 1).count() <= MAX_CODES
+    out = df
+    for i, (f, b) in enumerate(bins.items()):
+        own = coded.where(F.col("feature") == f).select(F.col("at").alias(f"__at_{i}"), F.col("woe").alias(f"__w_{f}"))
+        out = out.join(F.broadcast(own) if few else own, key(b) == F.col(f"__at_{i}"), "left").drop(f"__at_{i}")
+    return out
 
 
 def set_scores(coded: DataFrame, sets: dict[str, list[str]], target: str, fold: str) -> DataFrame:

@@ -228,7 +228,9 @@ def test_forward_prefers_what_completes(spark):
     assert select.forward(df, [], "y", "i") == [] and select.forward(df, ["twin1"], "y", "i", late=lambda: True) == []
 
 
-def test_codes_match_plain_sums(spark):
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_codes_match_plain_sums(spark, monkeypatch, limit):
+    monkeypatch.setattr(select, "MAX_CODES", limit)
     rng = random.Random(6)
     rows = [(i % 3, int(rng.random() < 0.4), rng.choice(["p", "q", None])) for i in range(90)]
     got = select.woe_codes(spark.createDataFrame(rows, "fold int, y int, b string"), {"b": "b"}, "y", "fold").collect()
