@@ -45,11 +45,16 @@ def unique_names(header: list[str]) -> list[str]:
     return names
 
 
-def one_line_rows(spark: SparkSession, path: str) -> bool:
-    """True if every row is a line of its own, so a file can be cut anywhere: no line has an odd number of quotes, as one that
-    ends within quotes has, and none is blank but for delimiters, which a reader of lines would drop."""
+def _not_one_line() -> Column:
+    """True for a line that isn't a row of its own: it has an odd number of quotes, as one that ends within quotes has, or it is
+    blank but for delimiters, which a reader of lines would drop."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.text(path).where((quotes % 2 == 1) | F.col("value").rlike(r"^[\x01-\x20]+$")).isEmpty()
+    return (quotes % 2 == 1) | F.col("value").rlike(r"^[\x01-\x20]+$")
+
+
+def one_line_rows(spark: SparkSession, path: str) -> bool:
+    """True if every row is a line of its own, so a file can be cut anywhere."""
+    return spark.read.text(path).where(_not_one_line()).isEmpty()
 
 
 KINDS = ("bigint", "double", "boolean", "date")
@@ -65,13 +70,24 @@ def read_csv(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
     names = unique_names(raw_header(line, sep))
     slots = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in [*slots, "too_many"]])
-    text = spark.read.csv(path, schema=schema, header=True, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=not one_line_rows(spark, path))
-    text = text.withColumns({s: F.when(~F.trim(s).isin(*NULL_TOKENS), F.col(s)) for s in slots})
-    fits = []
-    for s in slots:
-        some = F.count(s)
-        fits.append(F.struct(*((F.count(_try(s, k)) == some).alias(k) for k in KINDS), some.alias("some")).alias(s))
-    facts = text.agg(F.count("too_many").alias("too_many"), *fits).first()
+    how = {"sep": sep, "quote": '"', "escape": '"'}
+
+    def cleaned(text: DataFrame) -> DataFrame:
+        return text.withColumns({s: F.when(~F.trim(s).isin(*NULL_TOKENS), F.col(s)) for s in slots})
+
+    def facts_of() -> list[Column]:
+        fits = [F.struct(*((F.count(_try(s, k)) == F.count(s)).alias(k) for k in KINDS), F.count(s).alias("some")).alias(s) for s in slots]
+        return [F.count("too_many").alias("too_many"), *fits]
+
+    # One pass over the lines tells whether each is a row and, if so, which types fit; else the rows are read as a whole for that.
+    lines = spark.read.text(path).withColumn("head", F.regexp_replace("value", "^\ufeff", "") == line)
+    parsed = F.from_csv(F.when(~F.col("head"), F.col("value")), schema.simpleString()[7:-1].replace(":", " "), how)
+    looked = cleaned(lines.where("value <> ''").select("value", "head", parsed.alias("row")).select("value", "head", "row.*"))
+    facts = looked.agg(F.count_if(_not_one_line()).alias("odd"), F.count_if("head").alias("heads"), *facts_of()).first()
+    whole = facts.odd > 0
+    text = cleaned(spark.read.csv(path, schema=schema, header=True, enforceSchema=True, multiLine=whole, **how))
+    if whole or facts.heads != 1:
+        facts = text.agg(*facts_of()).first()
     if facts.too_many:
         raise ValueError(f"{facts.too_many} rows of {path} have more fields than its header")
     kinds = {s: next((k for k in KINDS if facts[s][k]), "string") if infer and facts[s]["some"] else "double" if infer else "string" for s in slots}
