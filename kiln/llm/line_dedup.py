@@ -6,7 +6,7 @@ then keeps two Bloom filters, of digests seen once and of digests seen twice; th
 twice-seen are suspected repeats (a few unique ones slip in), and only these are shuffled, with their documents: counts per digest
 confirm what does repeat, and choose the document that keeps it. A last pass drops the confirmed lines.
 
-The filters have 8 to 16 bits a digest, up to ``MAX_BITS``. Beyond that the digests are dealt into slices of the hash space, stored by
+The filters have 8 to 16 bits a digest, up to the second of ``BITS``, which larger executors may raise. Beyond that the digests are dealt into slices of the hash space, stored by
 slice, and each slice has its own filters, so that memory stays bounded and the share of false suspects stays the same at any size.
 
 Defined results: null or empty text is one empty line; lines are cut at ``\\n`` alone; equal ids are one document when repeats are counted, and
@@ -17,10 +17,12 @@ are kept as rows; an empty table gives an empty one; input columns may have any
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -34,6 +36,8 @@ STRIP = " \t\n\v\f\r"
 BITS = (1 << 12, 1 << 28)
 #: Filter words of 64 bits that travel as one row.
 CHUNK = 256
+#: Digests that a task of a filter takes at least, so that the filters which tasks hand on stay few; slices that are worked on at once.
+DIGESTS_A_TASK, SLICES_AT_ONCE = 1_000_000, 4
 #: So many confirmed lines are broadcast (24 bytes each); more are joined by a shuffle.
 MAX_BROADCAST_LINES = 1_000_000
 ADDED = ("n_lines", "n_dropped", "kept")
@@ -107,8 +111,8 @@ class Filters:
         self.once[at] |= once
 
 
-def _seen_twice(facts: DataFrame, bits: int) -> np.ndarray:
-    """The merged filter of twice-seen digests: ``bits`` bits, at most MAX_BITS, whatever the size of the corpus."""
+def _seen_twice(facts: DataFrame, bits: int, n: int) -> np.ndarray:
+    """The merged filter of about ``n`` twice-seen digests: ``bits`` bits, whatever the size of the corpus."""
     width = min(CHUNK, bits // 64)
     schema = "chunk int, once binary, twice binary"
 
@@ -134,7 +138,8 @@ def _seen_twice(facts: DataFrame, bits: int) -> np.ndarray:
 
     out = np.zeros((bits // 64 // width, width), np.uint64)
     parts = max(1, min(64, len(out) // 16))
-    for r in facts.select("keys").mapInArrow(build, schema).repartition(parts, "chunk").mapInArrow(merge, schema).select("chunk", "twice").toLocalIterator():
+    tasks = max(1, n // DIGESTS_A_TASK)
+    for r in facts.select("keys").coalesce(tasks).mapInArrow(build, schema).repartition(parts, "chunk").mapInArrow(merge, schema).select("chunk", "twice").toLocalIterator():
         out[r.chunk] = np.frombuffer(r.twice, np.uint64)
     return out.ravel()
 
@@ -167,8 +172,13 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, folder: str)
         _sliced(facts, count).write.partitionBy("slice").parquet(f"{folder}/slices")
         every = spark.read.schema("doc long, text_hash long, keys binary, slice int").parquet(f"{folder}/slices")
         parts = [every.where(F.col("slice") == s) for s in range(count)]
-    for s, part in enumerate(parts):
-        stored(_suspects(part, _seen_twice(part, bits), bits), f"suspects/{s}", folder)
+
+    def one(s: int) -> None:
+        stored(_suspects(parts[s], _seen_twice(parts[s], bits, n // count), bits), f"suspects/{s}", folder)
+
+    with ThreadPoolExecutor(SLICES_AT_ONCE) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(one), s) for s in range(count)]:
+            done.result()
     suspects = spark.read.schema("key binary, doc long, text_hash long").option("recursiveFileLookup", True).parquet(f"{folder}/suspects")
     counts = suspects.groupBy("key", "doc").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
     confirmed = stored(counts.where(F.col("docs") >= min_docs).select("key", "last"), "confirmed", folder)
