@@ -17,13 +17,13 @@ MAX_CODES = 100_000
 
 
 def feature_scores(df: DataFrame, features: list[str], target: str, filler: float = -999.0) -> DataFrame:
-    """feature, auc of each: all features in one pass of (feature, value) sums, missing values at the filler.
+    """feature, auc of each: all features in one pass of (feature, value) sums, missing values (null or NaN) at the filler.
 
     The distinct values of a feature are ordered in ranges, so a feature with a value of its own in every row is no task of its own.
     """
     from ..functions.metrics import auc_by
 
-    each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(filler)).alias("value")) for f in features)))
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.coalesce(F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None)), F.lit(filler)).alias("value")) for f in features)))
     long = df.select(F.col(target).alias("y"), each.alias("e")).select("y", "e.feature", "e.value")
     return auc_by(long, "value", "y", ["feature"], few=len(features) <= FEW_GROUPS)
 

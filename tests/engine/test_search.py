@@ -28,13 +28,13 @@ def test_bounds_hold_exact_scores(spark):
     assert 120 < len(sample.y) < 280 and sample.codes.shape == (len(sample.y), 5)
     bounds = auc_bounds(df, "y", sample)
     assert set(bounds) == {"good", "noise", "few", "gaps"}
-    exact = {r.feature: r.auc for r in select.feature_scores(df.select("y", *(F.nanvl(f, F.lit(None)).alias(f) for f in features)), features, "y").collect()}
+    exact = {r.feature: r.auc for r in select.feature_scores(df, features, "y").collect()}
     for f, (low, high) in bounds.items():
         assert low - 1e-12 <= exact[f] <= high + 1e-12 and high - low < 0.05
     assert bounds["few"][0] == bounds["few"][1] and auc_bounds(df.limit(0), "y", sample) == {} and auc_bounds(df, "y", Sample.of(df, "id", [], "y")) == {}
     order = sorted(bounds, key=lambda f: (-abs(exact[f] - 0.5), f))
     for n in (1, 2, 4, 9):
-        assert best_features(df.select("id", "y", *(F.nanvl(f, F.lit(None)).alias(f) for f in features)), "y", bounds, n) == order[:n]
+        assert best_features(df, "y", bounds, n) == order[:n]
     assert distance((0.4, 0.7)) == (0.0, pytest.approx(0.2)) and distance((0.2, 0.3)) == (pytest.approx(0.2), pytest.approx(0.3))
 
 
