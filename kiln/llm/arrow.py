@@ -7,7 +7,7 @@ from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -103,5 +103,14 @@ def add_columns(df: DataFrame, text: str, keep: list[str], added: StructType, pe
 
 
 def beside(df: DataFrame, text: str, row: str, body: str) -> DataFrame:
-    """All columns of ``df`` as one struct ``row``, and its text as ``body``: names of the input can't clash with what is added."""
-    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(row), F.col(f"`{text}`").alias(body))
+    """The text of ``df`` as ``body``, and all else that a row holds as one struct ``row``: the text crosses to Python once, and names of the input can't clash with what is added."""
+    rest = [c for c in df.columns if c != text]
+    held = F.struct(F.col(f"`{text}`").isNotNull().alias("some"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)))
+    return df.select(held.alias(row), F.col(f"`{text}`").alias(body))
+
+
+def together(columns: list[str], text: str, row: str, new: Column, **changed: Column) -> list[Column]:
+    """The columns that ``beside`` took apart, in their order, with ``new`` as the text (null texts stay null) and ``changed`` in place of columns of those names."""
+    place = {c: f"c{i}" for i, c in enumerate(c for c in columns if c != text)}
+    whole = {c: F.col(row).getField(at) for c, at in place.items()} | {text: F.when(F.col(row).getField("some"), new)} | changed
+    return [whole[c].alias(c) for c in columns]

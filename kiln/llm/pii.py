@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import add_columns, beside
+from .arrow import add_columns, beside, together
 from .common import mix64, table
 from .spans import span_text
 
@@ -344,13 +344,12 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Field |
         return work
 
     schema = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("y", T.ArrayType(T.LongType())), T.StructField("pairs", T.ArrayType(T.DoubleType()))])
-    got = add_columns(rows, "text", ["hash"], schema, measure).collect()
-    got = sorted(got, key=lambda r: (r.hash, r.y))
-    y = np.array([v for r in got for v in r.y], np.int64)
+    got = add_columns(rows, "text", ["hash"], schema, measure).toArrow().sort_by("hash")  # rows of one hash are one text
+    x, y, pairs = (got[c].combine_chunks().flatten().to_numpy() for c in ("x", "y", "pairs"))
     if not len(y):
         return None
-    x = np.array([v for r in got for v in r.x]).reshape(-1, SHAPE)
-    counts = np.sum([r.pairs for r in got], 0).reshape(2, k, k)
+    x = x.reshape(-1, SHAPE)
+    counts = pairs.reshape(-1, 2, k, k).sum(0)
     return fit_field(x, y, counts[0], counts[1])
 
 
@@ -388,10 +387,10 @@ def masked(text: str, spans: list[Span]) -> str:
 def mask(docs: DataFrame, field: Field | None, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``docs`` with personal data masked and ``n_chars`` (where there is such a column) as the new length; other columns stay, null texts too."""
     added = T.StructType([T.StructField("masked", T.StringType())])
-    packed = beside(docs, text, "row", "body")
-    done = add_columns(packed, "body", ["row"], added, lambda: lambda texts: [pa.array([masked(t, tag(t, field)[1]) for t in texts], pa.string())])
-    new = F.when(F.col("row").getField(text).isNotNull(), F.col("masked"))
-    return done.select(*((new if c == text else F.length(new).cast(docs.schema[c].dataType) if c == n_chars else F.col("row").getField(c)).alias(c) for c in docs.columns))
+    masks = lambda texts: [pa.array([masked(t, tag(t, field)[1]) for t in texts], pa.string())]
+    done = add_columns(beside(docs, text, "row", "body"), "body", ["row"], added, lambda: masks)
+    length = {n_chars: F.when(F.col("row").getField("some"), F.length("masked")).cast(docs.schema[n_chars].dataType)} if n_chars in docs.columns else {}
+    return done.select(*together(docs.columns, text, "row", F.col("masked"), **length))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

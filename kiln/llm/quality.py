@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import add_columns, beside
+from .arrow import add_columns, beside, together
 from .common import mix64, table
 
 #: The most labelled rows that a fit takes.
@@ -205,4 +205,5 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
     """The pipeline's stage: documents scored at least ``least``, with their columns. Held-out labels are not learnt from here either."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return score(beside(docs, "text", "row", "text"), model, ["row"]).where(F.col("score") >= least).select("row.*")
+    scored = score(beside(docs, "text", "row", "text"), model, ["row", "text"])
+    return scored.where(F.col("score") >= least).select(*together(docs.columns, "text", "row", F.col("text")))
