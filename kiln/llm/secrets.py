@@ -9,7 +9,7 @@ limit; one that few hold and that looks random is live-looking. Opaque tokens be
 live-looking; base spans always stay. Every span carries its verdict and counts.
 
 Copies are equal texts, and texts whose sketches (``SKETCH`` least hashes of word shingles) agree in at least ``ALIKE``, an
-estimate of their Jaccard similarity. Texts with an equal band of the sketch are compared with the least of them, never in pairs.
+estimate of their Jaccard similarity. Texts with an equal band of the sketch are compared with two of them, never in pairs.
 
 Defined results: null text counts as empty; null owner or repository counts as one more owner or repository; equal rows get
 equal results; an empty table gives no rows; input columns travel in one struct, so only the added names may not clash.
@@ -67,14 +67,18 @@ def sketch(text: Column) -> Column:
 
 
 def copies(texts: DataFrame) -> DataFrame | None:
-    """(node, root) for those of ``texts(text, sketch)`` that are near copies of others; None where no two are."""
+    """(node, root) for those of ``texts(text, sketch)`` that are near copies of others; None where no two are.
+
+    Members of a band meet its first and last text in an order of the band's own, so a pair that meets unlike hubs in one band meets others in the next.
+    """
     bands = F.transform(F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1)), lambda b: F.xxhash64(b, F.slice("sketch", b * BAND + 1, BAND)))
     entries = texts.select("text", "sketch", F.explode(bands).alias("band"))
-    hubs = entries.groupBy("band").agg(F.min(F.struct("text", "sketch")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = entries.join(hubs, "band").where(F.col("text") != F.col("hub.text"))
-    equal = F.size(F.filter(F.zip_with("sketch", "hub.sketch", lambda a, b: a == b), lambda same: same))
+    ends = F.struct(F.xxhash64("text", "band"), "text", "sketch")
+    hubs = entries.groupBy("band").agg(F.array(F.min(ends), F.max(ends)).alias("hubs"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    like = lambda hub: (F.col("text") != hub["text"]) & (F.size(F.filter(F.zip_with("sketch", hub["sketch"], lambda a, b: a == b), lambda same: same)) >= ALIKE * SKETCH)
+    met = entries.join(hubs, "band").select(F.col("text").alias("a"), F.explode(F.transform(F.filter("hubs", like), lambda hub: hub["text"])).alias("b"))
     folder = shared_dir(texts.sparkSession)
-    links = stored(met.where(equal >= ALIKE * SKETCH).select(F.col("text").alias("a"), F.col("hub.text").alias("b")).distinct(), "links", folder)
+    links = stored(met.distinct(), "links", folder)
     roots = None if links.isEmpty() else components(links, folder, "copies")
     drop(texts.sparkSession, folder, "links")
     return roots

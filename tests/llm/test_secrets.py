@@ -1,4 +1,4 @@
-"""Secret spans against Python's re, and ownership by brute force."""
+"""Secret spans against Python's re, holders and near copies by brute force."""
 
 import hashlib
 import random
@@ -85,3 +85,41 @@ def test_long_opaque_values_are_candidates(spark):
         began = time.time()
         row = secrets.scan(spark.createDataFrame([(1, f"key {value} end", "a")], "doc_id long, text string, source string")).first()
         assert [(s.kind, s.start, s.end) for s in row.secret_spans] == [("opaque", 4, 4 + n)] and time.time() - began < 30
+
+
+def test_near_copies_are_found_beside_unlike_texts(spark):
+    """400 pairs of near copies that all share a passage, among as many unlike texts that share it too: pairs by their sketches against pairs by components."""
+    rng = random.Random(3)
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = []
+    for p in range(400):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        other = list(own)
+        for at in rng.sample(range(100), 3):  # some 15 of 156 shingles differ, a similarity of about 0.82
+            other[at] = f"v{at}"
+        rows += [(3 * p, " ".join(own) + " " + passage), (3 * p + 1, " ".join(other) + " " + passage), (3 * p + 2, " ".join(f"u{rng.randrange(10**6)}" for _ in range(150)) + " " + passage)]
+    made = spark.createDataFrame(rows, "text long, body string").select("text", secrets.sketch(F.col("body")).alias("sketch"))
+    sketches = {r.text: r.sketch for r in made.collect()}
+    root = {r.node: r.root for r in secrets.copies(made).collect()}
+    like = lambda a, b: sum(x == y for x, y in zip(sketches[a], sketches[b], strict=True)) >= secrets.ALIKE * secrets.SKETCH
+    true = [p for p in range(400) if like(3 * p, 3 * p + 1)]
+    found = [p for p in true if root.get(3 * p, -1) == root.get(3 * p + 1, -2)]
+    print(len(true), len(found))
+    assert len(true) > 350 and len(found) >= 0.99 * len(true)
+    assert not any(3 * p + 2 in root for p in range(400))
+
+
+def test_holders_by_brute_force(spark):
+    """Owners and texts of random corpora, counted by plain loops."""
+    rng = random.Random(7)
+    for size in (1, 30, 400):
+        rows = [(f"h{rng.randrange(12)}", rng.randrange(9), rng.choice(["a", "b", "c", None])) for _ in range(size)]
+        df = spark.createDataFrame([(h, t, (o,)) for h, t, o in rows], "hash string, text long, owner struct<o: string>")
+        expected = {}
+        for h in {r[0] for r in rows}:
+            held = {(t, o) for g, t, o in rows if g == h}
+            texts = {t for t, _ in held}
+            by_owner = [{t for t, o in held if o == who} for who in {o for _, o in held}]
+            homes = {min((o for u, o in held if u == t), key=lambda o: (o is not None, o or "")) for t in texts}
+            expected[h] = (1 if texts in by_owner else len(homes), len(texts))
+        assert {r.hash: (r.owners, r.texts) for r in secrets.holders(df, "owner", "owners").collect()} == expected
