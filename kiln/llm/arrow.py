@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Hashable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,10 +42,25 @@ def release() -> None:
     _Kept.name = _Kept.value = None
 
 
+@lru_cache
+def _trim() -> Callable[[int], int]:
+    """The C library's call that returns freed memory to the system, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Return freed memory to the system: allocators keep what a batch needed, and idle workers would hold it beside later stages."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Each batch in runs of rows whose texts hold about ``size`` bytes, with those texts (null: empty).
 
-    Lengths come from the Arrow offsets, so only one run at a time becomes Python strings.
+    Lengths come from the Arrow offsets, so only one run at a time becomes Python strings. After each batch freed memory goes back to the system.
     """
     for batch in batches:
         column = batch.column(text)
@@ -58,6 +75,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE) -> I
             cuts.append((start, batch.num_rows))
         for a, b in cuts:
             yield batch.slice(a, b - a), [x or "" for x in column.slice(a, b - a).to_pylist()]
+        del batch, column
+        give_back()
 
 
 def segments(text: str, size: int = SLICE) -> Iterator[tuple[int, str]]:
@@ -80,8 +99,8 @@ def check_names(df: DataFrame, keep: list[str], added: list[str]) -> None:
         raise ValueError(f"columns {clash} exist already")
 
 
-def add_columns(df: DataFrame, text: str, keep: list[str], added: StructType, per_slice: Callable[[], Callable[[list[str]], list[pa.Array]]]) -> DataFrame:
-    """``keep`` and ``text`` of ``df`` through ``mapInArrow``; ``per_slice()`` is made once a task and turns texts into the added columns.
+def add_columns(df: DataFrame, text: str, keep: list[str], added: StructType, per_slice: Callable[[], Callable[[list[str]], list[pa.Array]]], size: int = SLICE) -> DataFrame:
+    """``keep`` and ``text`` of ``df`` through ``mapInArrow``; ``per_slice()`` is made once a task and turns texts, about ``size`` bytes of them, into the added columns.
 
     ``text`` itself is returned only where ``keep`` names it. Row order and number are kept.
     """
@@ -95,7 +114,7 @@ def add_columns(df: DataFrame, text: str, keep: list[str], added: StructType, pe
         work = per_slice()
         if not _Kept.asked:
             release()
-        for batch, texts in slices(batches, text):
+        for batch, texts in slices(batches, text, size):
             columns = work(texts)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names=[*keep, *(f.name for f in added)])
 

@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import SLICE, add_columns, check_names, kept, segments
+from .arrow import add_columns, check_names, kept, segments
 from .common import table
 
-#: Bytes that a task may hold as ids of words, and of pieces of words.
-CACHED_BYTES = 64 << 20
+#: Bytes of text that are encoded at once: their new words meet in the groups below, and their lists and ids are held beside the memories.
+SLICE = 1 << 18
+#: Bytes that a task may hold as ids of words, and as many of pieces of words. Results don't depend on it, only how often a rare word is encoded again.
+CACHED_BYTES = 24 << 20
 #: What an entry takes beyond its own bytes: two objects and their place in a dictionary.
 ENTRY_BYTES = 150
 #: Cells of the tree of one group of pieces.
@@ -356,7 +358,7 @@ def encode(df: DataFrame, keep: list[str], path: str | None = None, text: str =
         bpe = codec(path)
         return lambda texts: [pa.array(bpe.encode(texts), pa.binary())]
 
-    return add_columns(df, text, keep, T.StructType([T.StructField(ids, T.BinaryType())]), work)
+    return add_columns(df, text, keep, T.StructType([T.StructField(ids, T.BinaryType())]), work, SLICE)
 
 
 def decode(df: DataFrame, keep: list[str], path: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -389,7 +391,7 @@ def round_trip(df: DataFrame, keep: list[str], path: str | None = None, text: st
 
         return run
 
-    return add_columns(df, text, keep, T.StructType([T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.StringType())]), work)
+    return add_columns(df, text, keep, T.StructType([T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.StringType())]), work, SLICE)
 
 
 def digests(trip: DataFrame, keep: list[str]) -> DataFrame:
